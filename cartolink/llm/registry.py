@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, html_text, mix, pii, quality, secrets
+from . import brown, fingerprint, html_text, mix, pii, quality, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -37,8 +37,12 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_read(spark, sf_dir, "pages"))
 
 
+def op9_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.language_scores(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op3_quality_classifier, op4_personal_data, op5_secret_scan, op6_fingerprints, op7_html_extraction)}
+    return {f.__name__: f for f in (op1_mix_sources, op3_quality_classifier, op4_personal_data, op5_secret_scan, op6_fingerprints, op7_html_extraction, op9_language_scores)}
 
 
 def oracle_sql() -> dict[str, str]:
