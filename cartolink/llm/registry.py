@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown, fingerprint, html_text, mix, pii, quality, secrets
+from . import brown, fingerprint, html_text, mix, partenum, pii, quality, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,8 +41,12 @@ def op9_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.language_scores(_read(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_components(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op3_quality_classifier, op4_personal_data, op5_secret_scan, op6_fingerprints, op7_html_extraction, op9_language_scores)}
+    return {f.__name__: f for f in (op1_mix_sources, op3_quality_classifier, op4_personal_data, op5_secret_scan, op6_fingerprints, op7_html_extraction, op9_language_scores, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
