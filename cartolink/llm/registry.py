@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown, fingerprint, html_text, mix, partenum, pii, quality, secrets
+from . import brown, decontaminate, fingerprint, html_text, mix, partenum, pii, quality, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(_read(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -46,7 +50,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op3_quality_classifier, op4_personal_data, op5_secret_scan, op6_fingerprints, op7_html_extraction, op9_language_scores, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_decontamination, op3_quality_classifier, op4_personal_data, op5_secret_scan, op6_fingerprints, op7_html_extraction, op9_language_scores, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
