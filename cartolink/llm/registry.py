@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown, decontaminate, fingerprint, html_text, mix, partenum, pii, quality, secrets
+from . import brown, decontaminate, fingerprint, fuzzy_lines, html_text, mix, partenum, pii, quality, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_read(spark, sf_dir, "pages"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.report(_read(spark, sf_dir, "documents"))
+
+
 def op9_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.language_scores(_read(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_decontamination, op3_quality_classifier, op4_personal_data, op5_secret_scan, op6_fingerprints, op7_html_extraction, op9_language_scores, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_decontamination, op3_quality_classifier, op4_personal_data, op5_secret_scan, op6_fingerprints, op7_html_extraction, op8_line_dedup, op9_language_scores, op10_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

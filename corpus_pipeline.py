@@ -1,6 +1,71 @@
+"""From raw documents to a training mix, stage by stage.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and
+returns a DataFrame; what it returns is written as Parquet and read again as the
+next one's ``docs``.  All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cartolink.llm import decontaminate, fuzzy_lines, mix, partenum, quality
+from cartolink.llm.staging import staged
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs.select(COLUMNS), model).where(F.col("score") >= quality.THRESHOLD).select(COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go, and documents of which no line is left."""
+    rows = fuzzy_lines.dedup(docs.select(COLUMNS)).where("n_removed = 0 or n_removed < n_lines")
+    changed = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return rows.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType)).select(COLUMNS)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the least id.
+
+    Shingles of five words, similarity 0.8.
+    """
+    groups = partenum.jaccard_components(docs, n=5, num=80, den=100)
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti").select(COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = staged(found.select("doc_id").distinct(), "clean-gone")
+    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti").select(COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mix, with the words that it takes of each; repeats count."""
+    taken = mix.mix(docs).where("taken > 0").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in ("size", "source_size", "target", "taken")])
+    return docs.select(COLUMNS).join(taken, "doc_id").select(*COLUMNS, "size", "source_size", "target", "taken")
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", ngram_jaccard),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mix_sources),
+]
+
+#: A fitted classifier decides in the first stage, which SQL can't express.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs
