@@ -1 +1 @@
-
+"""Work on files as they come."""
