@@ -185,7 +185,8 @@ def exchange(bigrams: np.ndarray, symbols: int, classes: int, rounds: int) -> np
             diagonal = grid[np.arange(classes), np.arange(classes)]
             r, l = right[:classes], left[:classes]
             gain += xlogx(diagonal + r + l + same) - xlogx(diagonal + r) - xlogx(diagonal + l) + xlogx(diagonal)
-            rows, cols = grid.sum(1)[:classes], grid.sum(0)[:classes]
+            # Margins with the word's neighbours, which stay where they are.
+            rows, cols = (grid.sum(1) + left)[:classes], (grid.sum(0) + right)[:classes]
             gain -= xlogx(rows + right.sum() + same) - xlogx(rows) + xlogx(cols + left.sum() + same) - xlogx(cols)
             new = int(gain.argmax())
             if gain[new] <= gain[old] + 1e-9:

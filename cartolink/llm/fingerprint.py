@@ -143,7 +143,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     parts = text_parts(docs.sparkSession)
     ranges = 4 * parts
     edges = rows.select(F.col("doc_id").cast("double").alias("at")).approxQuantile("at", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
-    splits = [-float("inf"), *sorted(set(edges)), float("inf")]
+    splits = [-float("inf"), *(sorted(set(edges)) or [0.0]), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="at", outputCol="range", handleInvalid="keep")
     cut_up = lambda df: cut.transform(df.withColumn("at", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("nan"))))).drop("at")
     # One row a range: at most ``ranges`` + 1 of them.

@@ -230,15 +230,15 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     ``n_lines`` counts lines that are not blank.
     """
-    dropped = staged(repeated(docs), "fl-dropped")
-    rows = docs.withColumn("_row", row_key()).join(dropped.withColumnRenamed("row", "_row"), "_row", "left").drop("_row")
+    dropped = staged(repeated(docs), "fl-dropped").select(F.col("row").alias("_fl_row"), F.col("dropped").alias("_fl_dropped"))
+    rows = docs.withColumn("_fl_row", row_key()).join(dropped, "_fl_row", "left").drop("_fl_row")
     lines = F.split(F.col("text").cast("string"), "\n", -1)
-    left = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col("dropped"), s["i"]))
-    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda s: s["x"]), "\n"))
+    left = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col("_fl_dropped"), s["i"]))
+    text = F.when(F.col("_fl_dropped").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda s: s["x"]), "\n"))
     full = F.size(F.filter(lines, lambda x: F.length(F.regexp_replace(x, r"(?U)[\s\x1c-\x1f]+", "")) > 0))
     rows = rows.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(full).cast("long"))
-    rows = rows.withColumn("n_removed", F.coalesce(F.size("dropped"), F.lit(0)).cast("long"))
-    return rows.withColumn("text", text).drop("dropped")
+    rows = rows.withColumn("n_removed", F.coalesce(F.size("_fl_dropped"), F.lit(0)).cast("long"))
+    return rows.withColumn("text", text).drop("_fl_dropped")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -78,6 +79,7 @@ class Page:
         self.tag, self.parent, self.skip = ["body"], [-1], [False]
         self.chars, self.tags, self.link_chars, self.link_tags = [0], [0], [0], [0]
         self.pieces: list[tuple[int, int, str]] = []  # block, node, text
+        self.in_article, self.open = [False], Counter()
         self.block, self.stack = 0, [0]
         self._parse(source)
 
@@ -88,8 +90,9 @@ class Page:
         if tag in ENDS:
             self._close_implied(ENDS[tag])
         up = stack[-1]
-        in_article = any(self.tag[n] in ("article", "main") for n in stack)
         node = len(self.tag)
+        in_article = self.in_article[up]
+        self.in_article.append(in_article or tag in ("article", "main"))
         self.tag.append(tag)
         self.parent.append(up)
         self.skip.append(self.skip[up] or _aside(tag, attributes, in_article))
@@ -97,22 +100,30 @@ class Page:
             counts.append(0)
         if tag not in VOID:
             stack.append(node)
+            self.open[tag] += 1
 
     def _close_implied(self, tags: set[str]) -> None:
         """Close an open element of ``tags`` unless a container stands above it."""
         for at in range(len(self.stack) - 1, 0, -1):
             tag = self.tag[self.stack[at]]
             if tag in tags:
-                del self.stack[at:]
+                self._cut(at)
                 return
             if tag in BLOCK or tag in ("td", "th"):
                 return
 
+    def _cut(self, at: int) -> None:
+        for node in self.stack[at:]:
+            self.open[self.tag[node]] -= 1
+        del self.stack[at:]
+
     def _close(self, tag: str) -> None:
+        if not self.open[tag]:
+            return
         for at in range(len(self.stack) - 1, 0, -1):
             have = self.tag[self.stack[at]]
             if have == tag:
-                del self.stack[at:]
+                self._cut(at)
                 return
             if tag not in BLOCK and have in BLOCK:
                 return  # an inline end tag doesn't close blocks
