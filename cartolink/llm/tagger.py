@@ -178,6 +178,8 @@ class Reader:
         windows = np.zeros((sum(counts), core + 2 * margin), np.uint8)
         at = 0
         for t, n in zip(texts, counts, strict=True):
+            if not n:
+                continue
             padded = np.zeros(n * core + 2 * margin, np.uint8)
             padded[margin : margin + len(t)] = t
             windows[at : at + n] = np.lib.stride_tricks.sliding_window_view(padded, core + 2 * margin)[::core]
