@@ -132,15 +132,20 @@ def _texts(wanted):
         keep = wanted.value if wanted is not None else None
         seen: set[int] = set()
         for batch in batches:
-            found = []
-            for text in batch["text"]:
-                for line in lines_of(text):
-                    if line and (h := line_id(line)) not in seen and (keep is None or h in keep):
-                        if len(seen) > 1_000_000:
-                            seen.clear()
-                        seen.add(h)
-                        found.append((h, line))
-            yield pd.DataFrame(found, columns=["line", "text"]).astype({"line": "int64", "text": "object"})
+            found = [x for text in batch["text"] for x in lines_of(text) if x]
+            ids = np.array([line_id(x) for x in found], np.int64)
+            inside = np.ones(len(ids), bool)
+            if keep is not None:
+                at = np.minimum(np.searchsorted(keep, ids), max(len(keep) - 1, 0))
+                inside = keep[at] == ids if len(keep) else np.zeros(len(ids), bool)
+            rows = []
+            for k in np.flatnonzero(inside).tolist():
+                if (h := int(ids[k])) not in seen:
+                    if len(seen) > 1_000_000:
+                        seen.clear()
+                    seen.add(h)
+                    rows.append((h, found[k]))
+            yield pd.DataFrame(rows, columns=["line", "text"]).astype({"line": "int64", "text": "object"})
 
     return run
 
@@ -151,7 +156,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     n = wanted.count()
     shared = None
     if n <= SENT:  # 8 bytes an id
-        shared = docs.sparkSession.sparkContext.broadcast(set(wanted.toPandas()["line"].tolist()))
+        shared = docs.sparkSession.sparkContext.broadcast(np.sort(wanted.toArrow()["line"].to_numpy()))
     found = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(_texts(shared), "line long, text string")
     if shared is None:
         found = found.join(wanted, "line", "left_semi")

@@ -132,9 +132,9 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     is_good = F.coalesce(F.col("quality") == 1, F.lit(False)) & (F.col("drawn") < few)
     parts = F.array_compact(F.array(F.when(is_good, True), F.when(F.col("drawn") >= many, False)))
     rows = rows.select("text", F.explode(parts).alias("positive"))
-    got = rows.mapInPandas(_vectors, "positive boolean, x array<float>").toPandas()
-    x = np.stack(got["x"]) if len(got) else np.zeros((0, FEATURES))
-    is_positive = got["positive"].to_numpy(bool)
+    got = rows.mapInPandas(_vectors, "positive boolean, x array<float>").toArrow()
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, FEATURES)
+    is_positive = got["positive"].to_numpy().astype(bool)
     return fit(x[is_positive], x[~is_positive], prior)
 
 
