@@ -196,13 +196,15 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     # Members of one bucket that the leaders have not brought together.
     placed = shown.select("sig", F.col("b").alias("node")).join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
     spread = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("sig")
-    info = sets.where("sig is not null").groupBy("doc_id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # Of an id with several texts nothing is known, and nothing is excluded.
+    one = F.min("digest") == F.max("digest")
+    info = sets.where("sig is not null").groupBy("doc_id").agg(*[F.when(one, F.first(c)).alias(c) for c in ("n", "sketch")])
     open_ = placed.join(spread, "sig").join(info.select(F.col("doc_id").alias("node"), "n", "sketch"), "node")
     open_ = staged(open_, "pe-open")
     a = open_.select("sig", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("n_a"), F.col("sketch").alias("sk_a"))
     b = open_.select("sig", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("n_b"), F.col("sketch").alias("sk_b"))
     near = f"n_a * {den} >= n_b * {num} and n_b * {den} >= n_a * {num}"
-    rest = a.join(b, "sig").where(f"a < b and ra <> rb and {near}").where(f"not {_apart(plan)}").select("a", "b").distinct()
+    rest = a.join(b, "sig").where(f"a < b and ra <> rb and coalesce({near}, true)").where(f"not coalesce({_apart(plan)}, false)").select("a", "b").distinct()
     rest = staged(rest.join(best, ["a", "b"], "left_anti"), "pe-rest")
     if not rest.isEmpty():
         more = verified(docs, rest, plan, n)

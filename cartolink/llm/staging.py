@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,6 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
         return base
     if _own is None:
         _own = tempfile.mkdtemp(prefix="cartolink-")
+        atexit.register(shutil.rmtree, _own, ignore_errors=True)
     return _own
 
 

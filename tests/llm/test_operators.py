@@ -160,7 +160,8 @@ def test_secrets_and_personal_data(spark, odd):
     got = pii.find(d, reader).collect()
     assert len(got) == d.count()
     one = next(r for r in got if r["doc_id"] == 9 and r["spans"])
-    base = "email:7:15,ip:17:25,card:50:69,phone:29:45"
+    place = lambda kind, x: f"{kind}:{rows[0][1].index(x)}:{rows[0][1].index(x) + len(x)}"
+    base = ",".join([place("email", "a.b@c.de"), place("ip", "10.0.0.1"), place("card", "4111 1111 1111 1111"), place("phone", "+49 (30) 1234567")])
     assert (one["n_email"], one["n_ip"], one["n_card"], one["n_phone"]) == (1, 1, 1, 1)
     assert one["base_sha256"] == hashlib.sha256(base.encode()).hexdigest() and set(base.split(",")) <= set(one["spans"].split(","))
     assert pii.find(empty(spark), reader).count() == 0 and secrets.scan(empty(spark)).count() == 0
@@ -273,3 +274,11 @@ def test_jaccard_components(spark, odd, n, num):
     rows = local(odd)
     assert collect(partenum.jaccard_components(odd, n, num, 100)) == brute_jaccard(rows, n, num, 100)
     assert partenum.jaccard_components(empty(spark), n, num, 100).count() == 0
+
+
+def test_jaccard_ids_with_two_texts(spark):
+    long = " ".join(f"w{k}" for k in range(80))
+    rows = [(1, "x y z"), (1, long + " end"), (2, "start " + long), (3, "other words only")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in partenum.jaccard_components(d).collect()}
+    assert got == {(1, 1), (2, 1), (3, 3)}
