@@ -146,8 +146,8 @@ def head_of(counts: DataFrame, most: int) -> pd.DataFrame:
             break
         least = row["step"]
     if least is None:
-        return counts.limit(0).toPandas()
-    return counts.where(step >= least).toPandas().sort_values(["c", "h"], ascending=[False, True], ignore_index=True)
+        return counts.limit(0).toArrow().to_pandas()
+    return counts.where(step >= least).toArrow().to_pandas().sort_values(["c", "h"], ascending=[False, True], ignore_index=True)
 
 
 def exchange(bigrams: np.ndarray, symbols: int, classes: int, rounds: int) -> np.ndarray:
@@ -255,10 +255,10 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
         at = np.flatnonzero(found)
         yield pd.DataFrame({"pair": at, "n": found[at]})
 
-    got = learn.mapInPandas(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    got = learn.mapInPandas(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     shared.unpersist()
     bigrams = np.zeros((symbols, symbols))
-    bigrams.ravel()[got["pair"].to_numpy(np.int64)] = got["n"]
+    bigrams.ravel()[got["pair"].to_numpy()] = got["n"].to_numpy()
     classes = min(CLASSES, top)
     of = exchange(bigrams, top, classes, ROUNDS)
     total = classes + SHAPES + 1
