@@ -8,9 +8,9 @@ pairs are, of similarity 0.9 all but some in 10**5.  Candidates are compared
 exactly, and lines that reach the threshold are joined by distributed union-find.
 The line that comes first, by document id and place, stays.
 
-In a bucket, members are compared with its first; what that leaves in different
-components is then compared with one another if lengths allow, so a bucket of one
-family never lists its pairs.  Equal lines, the bulk of all repeats, are one node
+A line is compared with the first line of a bucket that most of its buckets name;
+what that leaves in different components is then compared with the first of each
+other component in the bucket, so a bucket never lists the pairs of a family.  Equal lines, the bulk of all repeats, are one node
 from the start, whatever their number.
 
 A line is compared without white space at its ends; a line shorter than a shingle
@@ -22,6 +22,7 @@ null id comes after all others.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -31,13 +32,14 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import mixed
-from .staging import staged
+from .staging import sent, staged
 
 SHINGLE, BANDS, ROWS = 6, 20, 8
 NUM, DEN = 80, 100
 #: Ids of lines that are sent to all tasks at most; beyond, texts come by a join.
 SENT = 4_000_000
 PRIME = np.uint64(0x100000001B3)
+SMALL_PRIME = np.uint32(0x01000193)
 
 
 def line_id(line: str) -> int:
@@ -63,7 +65,24 @@ def shingles(line: str) -> np.ndarray:
     points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     if len(points) < SHINGLE:
         points = np.concatenate([points, np.zeros(SHINGLE - len(points), np.uint64)])
-    return np.unique(_hashes(points))
+    found = np.sort(_hashes(points))
+    return found[np.append(True, found[1:] != found[:-1])]
+
+
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many elements two sorted sets have in common."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    return int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
+
+
+@cache
+def _lenders(places: int, tries: int) -> np.ndarray:
+    """The place that each empty place asks at its n-th try."""
+    if tries > 4 * places:  # a last resort that ends for certain
+        return (np.arange(places) + tries) % places
+    return (mixed(np.arange(places, dtype=np.uint64) + np.uint64(tries * 7919)) % np.uint64(places)).astype(np.int64)
 
 
 def bands(lines: list[str]) -> np.ndarray:
@@ -71,28 +90,39 @@ def bands(lines: list[str]) -> np.ndarray:
     places = BANDS * ROWS
     # Blanks part the lines, long enough for a short line to have a shingle.
     joined = "".join(x + "\0" * SHINGLE for x in lines)
-    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.array([len(x) for x in lines])
-    starts = np.cumsum(sizes + SHINGLE) - sizes - SHINGLE
+    # A line's shingles end with the line; those that reach into the next part go.
     counts = np.maximum(sizes - SHINGLE + 1, 1)
-    owner = np.repeat(np.arange(len(lines)), counts)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[owner]
-    h = _hashes(points)[at]
-    slot = owner * places + ((h >> np.uint64(32)) * np.uint64(places) >> np.uint64(32)).astype(np.int64)
-    low = (h & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    none = np.int64(1) << 40
+    inside = np.ones(len(points), bool)
+    ends = np.cumsum(sizes + SHINGLE)
+    drop = sizes + SHINGLE - counts
+    inside[np.repeat(ends - drop, drop) + np.arange(drop.sum()) - np.repeat(np.cumsum(drop) - drop, drop)] = False
+    n = len(points) - SHINGLE + 1
+    h = points[:n].copy()
+    for k in range(1, SHINGLE):
+        h *= SMALL_PRIME
+        h += points[k : k + n]
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        h ^= h >> np.uint32(shift)
+        h *= np.uint32(factor)
+    h = h[inside[:n]]
+    slot = np.repeat(np.arange(len(lines)) * places, counts)
+    slot += ((h >> np.uint32(16)) * np.uint32(places) >> np.uint32(16)).astype(np.int64)
+    none = np.uint32(0xFFFFFFFF)
     sig = np.full(len(lines) * places, none)
-    np.minimum.at(sig, slot, low)
+    np.minimum.at(sig, slot, h)
     sig = sig.reshape(len(lines), places)
     # An empty place borrows from the places of a sequence of its own, the same for all lines.
-    filled, tries = sig.copy(), 0
-    while (empty := filled == none).any():
+    own, tries = sig.copy(), 0
+    open_ = np.flatnonzero((sig == none).any(1))
+    while len(open_):
         tries += 1
-        source = (mixed(np.arange(places, dtype=np.uint64) + np.uint64(tries * 7919)) % np.uint64(places)).astype(np.int64)
-        if tries > 4 * places:  # a last resort that ends for certain
-            source = (np.arange(places) + tries) % places
-        filled = np.where(empty, sig[:, source], filled)
-    parts = filled.reshape(len(lines), BANDS, ROWS).astype(np.uint64)
+        part = sig[open_]
+        part = np.where(part == none, own[open_][:, _lenders(places, tries)], part)
+        sig[open_] = part
+        open_ = open_[(part == none).any(1)]
+    parts = sig.reshape(len(lines), BANDS, ROWS).astype(np.uint64)
     keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), parts.shape[:2]).copy()
     for k in range(ROWS):
         keys = mixed(keys * PRIME + parts[:, :, k] + np.uint64(1))
@@ -170,7 +200,7 @@ def _same(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if held != a:
                 held, left = a, shingles(a)
             right = shingles(b)
-            both = len(np.intersect1d(left, right, assume_unique=True))
+            both = shared(left, right)
             keep.append(DEN * both >= NUM * (len(left) + len(right) - both))
         yield batch.loc[keep, ["a", "b"]]
 
@@ -196,19 +226,19 @@ def repeated(docs: DataFrame) -> DataFrame:
     led = staged(led.where("a <> line").select("band", "a", F.col("line").alias("b")).distinct(), "fl-buckets")
     pairs = staged(led.groupBy("a", "b").agg(F.count("*").alias("votes")), "fl-pairs")
     texts = line_texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("line")))
-    links = staged(verified(texts, pairs.select("a", "b")), "fl-links")
+    best = staged(pairs.groupBy("b").agg(F.max_by("a", F.struct("votes", -F.col("a"))).alias("a")), "fl-best")
+    links = staged(verified(texts, best), "fl-links")
     roots = components(links)
 
     # Members of a bucket, its first among them, that are still apart.
     members = led.select("band", F.col("b").alias("node")).unionByName(led.select("band", F.col("a").alias("node")).distinct())
     members = members.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    spread = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2").select("band")
-    sizes = texts.select(F.col("line").alias("node"), F.length("text").alias("n"))
-    apart = staged(members.join(spread, "band").join(sizes, "node"), "fl-apart")
-    a = apart.select("band", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("n_a"))
-    b = apart.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("n_b"))
-    rest = a.join(b, "band").where("a < b and ra <> rb").select("a", "b").distinct()
-    rest = staged(rest.join(pairs, ["a", "b"], "left_anti"), "fl-rest")
+    spread = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
+    apart = staged(members.join(spread, "band").distinct(), "fl-apart")
+    # Each member meets the first of every other component, not all of its members.
+    firsts = apart.groupBy("band", "root").agg(F.min("node").alias("rep")).select("band", F.col("root").alias("other"), "rep")
+    rest = apart.join(firsts, "band").where("root <> other").select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
+    rest = staged(rest.join(best, ["a", "b"], "left_anti"), "fl-rest")
     if not rest.isEmpty():
         links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(verified(texts, rest))
         roots = components(staged(links, "fl-links"))
@@ -235,7 +265,9 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     ``n_lines`` counts lines that are not blank.
     """
-    dropped = staged(repeated(docs), "fl-dropped").select(F.col("row").alias("_fl_row"), F.col("dropped").alias("_fl_dropped"))
+    dropped = staged(repeated(docs), "fl-dropped")
+    lines_gone = dropped.agg(F.sum(F.size("dropped"))).first()[0] or 0
+    dropped = sent(dropped, lines_gone).select(F.col("row").alias("_fl_row"), F.col("dropped").alias("_fl_dropped"))
     rows = docs.withColumn("_fl_row", row_key()).join(dropped, "_fl_row", "left").drop("_fl_row")
     lines = F.split(F.col("text").cast("string"), "\n", -1)
     left = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col("_fl_dropped"), s["i"]))

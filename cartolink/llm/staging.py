@@ -8,8 +8,13 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: str | None = None
+#: Tables written here that are not to outlast the work they are for.
+_passing: list[str] = []
+#: Rows of ids that are sent to all tasks at most.
+SENT_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,17 +29,31 @@ def shared_dir(spark: SparkSession) -> str:
     return _own
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
     Cuts the lineage as ``checkpoint()`` does, but column by column, so a later
     reader takes only what it needs.  A lost executor costs no recomputation.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if not keep:
+        _passing.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables staged so far.  Only once all that reads them has been written."""
+    while _passing:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_passing.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def sent(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked to be sent to all tasks if it has few ``rows``; else it joins by a shuffle."""
+    return F.broadcast(df) if rows <= SENT_ROWS else df
+
+
 def text_parts(spark: SparkSession) -> int:
     """Partitions for a shuffle that the cluster's settings ask for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and
 returns a DataFrame; what it returns is written as Parquet and read again as the
-next one's ``docs``.  All but the last return the columns of ``documents``.
+next one's ``docs``.  All but the last return the columns of ``documents``.  As a
+stage begins when the one before it has been written, it deletes that one's
+intermediate tables.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartolink.llm import decontaminate, fuzzy_lines, mix, partenum, quality
-from cartolink.llm.staging import staged
+from cartolink.llm.staging import release, sent, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -24,6 +26,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and documents of which no line is left."""
+    release(spark)
     rows = fuzzy_lines.dedup(docs.select(COLUMNS)).where("n_removed = 0 or n_removed < n_lines")
     changed = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return rows.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType)).select(COLUMNS)
@@ -34,20 +37,23 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Shingles of five words, similarity 0.8.
     """
+    release(spark)
     groups = partenum.jaccard_components(docs, n=5, num=80, den=100)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti").select(COLUMNS)
+    gone = staged(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near-gone")
+    return docs.select(COLUMNS).join(sent(gone, gone.count()), "doc_id", "left_anti").select(COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    release(spark)
     found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     gone = staged(found.select("doc_id").distinct(), "clean-gone")
-    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti").select(COLUMNS)
+    return docs.select(COLUMNS).join(sent(gone, gone.count()), "doc_id", "left_anti").select(COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, with the words that it takes of each; repeats count."""
+    release(spark)
     taken = mix.mix(docs).where("taken > 0").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in ("size", "source_size", "target", "taken")])
     return docs.select(COLUMNS).join(taken, "doc_id").select(*COLUMNS, "size", "source_size", "target", "taken")
 
@@ -67,5 +73,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
     return docs
