@@ -10,8 +10,12 @@ The line that comes first, by document id and place, stays.
 
 A line is compared with the first line of a bucket that most of its buckets name;
 what that leaves in different components is then compared with the first of each
-other component in the bucket, so a bucket never lists the pairs of a family.  Equal lines, the bulk of all repeats, are one node
-from the start, whatever their number.
+other component in the bucket, so a bucket never lists the pairs of a family.  All
+pairs of a bucket that are still in different components are compared last.  A pair
+is passed over only if a lower bound on its difference (``sketch``: the parity of
+hash counts, by which the difference can only shrink) shows that it can't reach the
+threshold, so every candidate counts.  Equal lines, the bulk of all repeats, are one
+node from the start, whatever their number.
 
 A line is compared without white space at its ends; a line shorter than a shingle
 is a shingle.  Blank lines are no lines: they stay and join nothing.  A null text
@@ -38,6 +42,8 @@ SHINGLE, BANDS, ROWS = 6, 20, 8
 NUM, DEN = 80, 100
 #: Ids of lines that are sent to all tasks at most; beyond, texts come by a join.
 SENT = 4_000_000
+#: 64-bit words of a sketch.
+WORDS = 8
 PRIME = np.uint64(0x100000001B3)
 SMALL_PRIME = np.uint32(0x01000193)
 
@@ -211,6 +217,30 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.mapInPandas(_same, "a long, b long")
 
 
+def sketch(x: np.ndarray) -> np.ndarray:
+    """Parity of how many hashes fall on each of ``64 * WORDS`` bits."""
+    size = 64 * WORDS
+    counts = np.bincount((x & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(counts.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        sets = [shingles(x) for x in batch["text"]]
+        words = np.array([sketch(x) for x in sets], np.int64).reshape(-1, WORDS)
+        yield pd.DataFrame({"node": batch["line"], "n": [len(x) for x in sets]} | {f"s{k}": words[:, k] for k in range(WORDS)})
+
+
+def across(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one band in different components, without those whose sketches exclude a link."""
+    side = lambda df, c: df.select("band", *[F.col(x).alias(f"{x}_{c}") for x in df.columns if x != "band"])
+    sizes = f"n_a * {DEN} >= n_b * {NUM} and n_b * {DEN} >= n_a * {NUM}"
+    differ = " + ".join(f"bit_count(s{k}_a ^ s{k}_b)" for k in range(WORDS))
+    both = side(left, "a").join(side(right, "b"), "band").where("root_a <> root_b").where(sizes)
+    both = both.where(f"({differ}) * {DEN + NUM} <= (n_a + n_b) * {DEN - NUM}")
+    return both.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> (row, dropped): places of the lines that go, for each document that loses any.
 
@@ -231,17 +261,24 @@ def repeated(docs: DataFrame) -> DataFrame:
     roots = components(links)
 
     # Members of a bucket, its first among them, that are still apart.
-    members = led.select("band", F.col("b").alias("node")).unionByName(led.select("band", F.col("a").alias("node")).distinct())
-    members = members.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    spread = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    apart = staged(members.join(spread, "band").distinct(), "fl-apart")
-    # Each member meets the first of every other component, not all of its members.
-    firsts = apart.groupBy("band", "root").agg(F.min("node").alias("rep")).select("band", F.col("root").alias("other"), "rep")
-    rest = apart.join(firsts, "band").where("root <> other").select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
-    rest = staged(rest.join(best, ["a", "b"], "left_anti"), "fl-rest")
-    if not rest.isEmpty():
-        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(verified(texts, rest))
-        roots = components(staged(links, "fl-links"))
+    members = staged(led.select("band", F.col("b").alias("node")).unionByName(led.select("band", F.col("a").alias("node")).distinct()), "fl-members")
+    tried, info = best, None
+    for last in (False, True):
+        placed = members.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+        spread = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
+        apart = staged(placed.join(spread, "band").distinct(), "fl-apart")
+        if info is None:
+            open_ = apart.select(F.col("node").alias("line")).distinct()
+            schema = "node long, n long, " + ", ".join(f"s{k} long" for k in range(WORDS))
+            info = staged(texts.join(open_, "line", "left_semi").mapInPandas(_sketched, schema), "fl-sketches")
+        apart = staged(apart.join(info, "node"), "fl-open")
+        # Each member meets the first of every other component; then all that is still apart meets.
+        firsts = apart if last else apart.join(apart.groupBy("band", "root").agg(F.min("node").alias("node")), ["band", "root", "node"], "left_semi")
+        rest = staged(across(apart, firsts).join(tried, ["a", "b"], "left_anti"), "fl-rest")
+        if not rest.isEmpty():
+            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(verified(texts, rest))
+            roots = components(staged(links, "fl-links"))
+        tried = tried.select("a", "b").unionByName(rest)
 
     # Where each line occurs, and the first place of its component.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at")

@@ -233,6 +233,31 @@ def test_line_dedup(spark, odd):
     assert fuzzy_lines.report(empty(spark)).count() == 0
 
 
+def test_line_dedup_compares_all_candidates(spark):
+    rng, lines = random.Random(0), []
+    put = lambda line, at, c: line[:at] + c + line[at + 1 :]
+    for _ in range(6):  # two families that only the lines changed at 61 bridge
+        base = "".join(rng.choice("abcdefghijklmnop") for _ in range(170))
+        far = put(put(base, 20, "X"), 100, "X")
+        lines += [put(base, at, "Q") for at in range(27, 94, 2)] + [put(far, at, "R") for at in range(28, 94, 2)] + [put(far, 61, "R")]
+    sets, keys = [shingles(x) for x in lines], fuzzy_lines.bands(lines)
+    root = list(range(len(lines)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(lines)), 2):
+        both = fuzzy_lines.shared(sets[i], sets[j])
+        if (keys[i] == keys[j]).any() and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+            i, j = sorted((find(i), find(j)))
+            root[j] = i
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    left = {r["doc_id"] for r in fuzzy_lines.report(df).where("n_removed = 0").collect()}
+    assert left == {find(i) for i in range(len(lines))}
+
+
 def test_language_scores(spark, odd):
     rows = local(odd)
     got = {(r["doc_id"], r["n_tokens"], round(r["base_score"], 6)): r for r in brown.language_scores(odd).collect()}
