@@ -1,17 +1,21 @@
 """Language-model scores from a Brown class-based bigram model.
 
 Words are the maximal runs of non-blank characters, A-Z lower-cased; a text ends
-with an end token.  The ``CLUSTERED`` most frequent words are put into classes by
-the exchange algorithm, which moves one word at a time to the class that most
-raises the likelihood of the class bigrams.  All other words have the class of
-their shape.  A text's score is the sum over its tokens of the log10 probability
-of the token's class after the class before it, smoothed towards the class's own
-frequency, and of the token given its class, smoothed by adding ``ADD``.
-
-Counts cover every training text.  Only tables of a fixed size leave the cluster
-or are sent to all tasks: the ``HEAD`` most frequent words' counts, and the
-bigrams of the clustered words and shapes.  All other words' counts meet their
-occurrences in a join.
+with an end token.  Every word that occurs ``LEAST`` times or more is put into a
+class by the exchange algorithm, which moves a word to the class that most raises
+the likelihood of the class bigrams.  The ``SEEDS`` most frequent words are moved
+one at a time, to start from; then all words move at once, each against the class
+bigrams with itself taken out, for up to ``PASSES`` passes, of which the last counts
+that raised the likelihood.  Rarer words have the class of their shape.  A text's
+score is the sum over its tokens of the log10 probability of the token's class after
+the class before it, smoothed towards the class's own frequency, and of the token
+given its class, smoothed by adding ``ADD``.
+
+Counts cover every training text.  Word bigrams and each word's neighbours by class
+stay in tables.  The clustered words' keys, counts and classes (some 34 bytes a word)
+come to the driver and are sent to all tasks: they grow as the words that occur
+``LEAST`` times do, which is slower than the text.  All other words' counts meet
+their occurrences in a join.
 
 Null and empty texts consist of the end token.  Rows are scored one by one, so
 equal or null ids do no harm.  With no training text every count is 0.
@@ -31,8 +35,12 @@ from pyspark.sql import functions as F
 
 from .staging import staged
 
-#: Words sent to all tasks, words put into classes, and classes.
-HEAD, CLUSTERED, CLASSES, ROUNDS = 300_000, 1_500, 48, 4
+#: Occurrences of a word that is put into a class.
+LEAST = 10
+#: Words to start from, classes, rounds over the words to start from and passes over all.
+SEEDS, CLASSES, ROUNDS, PASSES = 1_500, 48, 4, 3
+#: Word bigrams that a worker keeps at once, and words moved at once.
+BIGRAMS, MOVED = 4_000_000, 128
 ADD = 0.1
 #: Weight of a class's own frequency in its probability after another class.
 BACK = 20.0
@@ -125,29 +133,19 @@ class _Codes(dict):
 
 @dataclass
 class Head:
-    """Keys of the most frequent words, ascending, with what tasks need of each."""
+    """Keys of the clustered words, ascending, with what tasks need of each."""
 
     keys: np.ndarray
     columns: dict[str, np.ndarray]
 
     def codes(self) -> _Codes:
-        index = dict(zip(self.keys.tolist(), range(len(self.keys)), strict=True))
-        return _Codes(lambda h: index.get(h, -1))
-
-
-def head_of(counts: DataFrame, most: int) -> pd.DataFrame:
-    """The most frequent words, ``most`` or somewhat fewer: whole steps of a logarithmic scale."""
-    step = F.floor(F.log2("c") * 8)
-    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()
-    least, total = None, 0
-    for row in sizes:
-        total += row["n"]
-        if total > most:
-            break
-        least = row["step"]
-    if least is None:
-        return counts.limit(0).toArrow().to_pandas()
-    return counts.where(step >= least).toArrow().to_pandas().sort_values(["c", "h"], ascending=[False, True], ignore_index=True)
+        keys = self.keys
+
+        def place(h: int) -> int:
+            at = int(keys.searchsorted(np.int64(h)))
+            return at if at < len(keys) and keys[at] == h else -1
+
+        return _Codes(place)
 
 
 def exchange(bigrams: np.ndarray, symbols: int, classes: int, rounds: int) -> np.ndarray:
@@ -201,12 +199,155 @@ def exchange(bigrams: np.ndarray, symbols: int, classes: int, rounds: int) -> np
     return of
 
 
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-12))
+
+
+def likelihood(grid: np.ndarray) -> float:
+    return float(_xlogx(grid).sum() - _xlogx(grid.sum(0)).sum() - _xlogx(grid.sum(1)).sum())
+
+
+def best_classes(grid: np.ndarray, classes: int, old: np.ndarray, right: np.ndarray, left: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """The class that each word is to move to, each taken out of ``grid`` alone.
+
+    ``right`` and ``left`` count a word's neighbours by class, (words, classes of the
+    grid), ``same`` itself after itself, and ``old`` is its class.  A word of a class
+    beyond ``classes`` has to move.
+    """
+    out = np.empty(len(old), np.int64)
+    for first in range(0, len(old), MOVED):
+        part = slice(first, first + MOVED)
+        o, s = old[part], same[part].astype(float)
+        n = np.arange(len(o))
+        r, l = right[part].astype(float), left[part].astype(float)  # noqa: E741
+        r[n, o] -= s
+        l[n, o] -= s
+        g = np.repeat(grid[None], len(o), 0)
+        g[n, o] -= r
+        g[n, :, o] -= l
+        g[n, o, o] -= s
+        rows, cols = g[:, :classes], g[:, :, :classes]
+        gain = (_xlogx(rows + r[:, None, :]) - _xlogx(rows)).sum(2)
+        gain += (_xlogx(cols + l[:, :, None]) - _xlogx(cols)).sum(1)
+        diagonal = g[:, np.arange(classes), np.arange(classes)]
+        rc, lc, s = r[:, :classes], l[:, :classes], s[:, None]
+        gain += _xlogx(diagonal + rc + lc + s) - _xlogx(diagonal + rc) - _xlogx(diagonal + lc) + _xlogx(diagonal)
+        after, before = (g.sum(2) + l)[:, :classes], (g.sum(1) + r)[:, :classes]
+        gain -= _xlogx(after + r.sum(1)[:, None] + s) - _xlogx(after) + _xlogx(before + l.sum(1)[:, None] + s) - _xlogx(before)
+        new = gain.argmax(1)
+        inside = o < classes
+        stays = inside & (gain[n, new] <= gain[n, np.where(inside, o, 0)] + 1e-9)
+        out[part] = np.where(stays, o, new)
+    return out
+
+
+def word_bigrams(learn: DataFrame, shared, size: int) -> DataFrame:
+    """(a, b, n): counts of words of ``shared``, shapes and the end after one another.
+
+    A pair comes once for each ``BIGRAMS`` of a part of the rows.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes, end = shared.value.codes(), size + SHAPES
+        symbols, held, many = end + 1, [], 0
+
+        def out() -> pd.DataFrame:
+            at, n = np.unique(np.concatenate(held), return_counts=True)
+            return pd.DataFrame({"a": (at // symbols).astype(np.int32), "b": (at % symbols).astype(np.int32), "n": n.astype(np.int64)})
+
+        for batch in batches:
+            for text in batch["text"]:
+                got = codes.of(words(text))
+                beyond = got < 0
+                got[beyond] = size + codes.shapes[-got[beyond] - 1]
+                held.append(np.concatenate([[end], got]) * symbols + np.concatenate([got, [end]]))
+                many += len(got) + 1
+                if many >= BIGRAMS:
+                    yield out()
+                    held, many = [], 0
+        if held:
+            yield out()
+
+    return learn.mapInPandas(run, "a int, b int, n long")
+
+
+def class_bigrams(bigrams: DataFrame, of: np.ndarray, total: int) -> np.ndarray:
+    """``bigrams`` summed by the classes ``of`` its symbols."""
+    shared = bigrams.sparkSession.sparkContext.broadcast(of)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found, of = np.zeros(total * total, np.int64), shared.value.astype(np.int64)
+        for batch in batches:
+            np.add.at(found, of[batch["a"].to_numpy()] * total + of[batch["b"].to_numpy()], batch["n"].to_numpy())
+        at = np.flatnonzero(found)
+        yield pd.DataFrame({"pair": at, "n": found[at]})
+
+    got = bigrams.mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    shared.unpersist()
+    grid = np.zeros(total * total)
+    grid[got["pair"].to_numpy()] = got["n"].to_numpy()
+    return grid.reshape(total, total)
+
+
+def moved(bigrams: DataFrame, of: np.ndarray, grid: np.ndarray, size: int, classes: int) -> np.ndarray:
+    """``of`` with each of the first ``size`` symbols, the words, moved to its best class."""
+    total = len(grid)
+    slots = 2 * total + 1  # classes after the word, before it, and the word itself
+    shared = bigrams.sparkSession.sparkContext.broadcast((of, grid))
+
+    def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of = shared.value[0].astype(np.int64)
+        held, counts, many = [], [], 0
+
+        def out() -> pd.DataFrame:
+            at, place = np.unique(np.concatenate(held), return_inverse=True)
+            n = np.bincount(place, np.concatenate(counts), len(at)).astype(np.int64)
+            return pd.DataFrame({"w": (at // slots).astype(np.int32), "slot": (at % slots).astype(np.int32), "n": n})
+
+        for batch in batches:
+            a, b, n = batch["a"].to_numpy().astype(np.int64), batch["b"].to_numpy().astype(np.int64), batch["n"].to_numpy()
+            first, second, twice = a < size, b < size, (a == b) & (a < size)
+            held += [a[first] * slots + of[b[first]], b[second] * slots + total + of[a[second]], a[twice] * slots + 2 * total]
+            counts += [n[first], n[second], n[twice]]
+            many += len(a)
+            if many >= BIGRAMS:
+                yield out()
+                held, counts, many = [], [], 0
+        if many:
+            yield out()
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, grid = shared.value
+        rows = [batch for batch in batches if len(batch)]
+        if not rows:
+            return
+        rows = pd.concat(rows)
+        found, place = np.unique(rows["w"].to_numpy(), return_inverse=True)
+        order = np.argsort(place, kind="stable")
+        place, slot, n = place[order], rows["slot"].to_numpy()[order], rows["n"].to_numpy()[order]
+        for first in range(0, len(found), 64 * MOVED):
+            mine = found[first : first + 64 * MOVED]
+            low, high = np.searchsorted(place, [first, first + len(mine)])
+            table = np.zeros((len(mine), slots))
+            table[place[low:high] - first, slot[low:high]] = n[low:high]
+            to = best_classes(grid, classes, of[mine].astype(np.int64), table[:, :total], table[:, total : 2 * total], table[:, -1])
+            yield pd.DataFrame({"w": mine, "class": to.astype(np.int32)})
+
+    # A word's rows come to one partition, where they are summed and stay.
+    near = bigrams.mapInPandas(neighbours, "w int, slot int, n long").repartition("w").groupBy("w", "slot").agg(F.sum("n").alias("n"))
+    got = near.mapInPandas(best, "w int, class int").toArrow()
+    shared.unpersist()
+    new = of.copy()
+    new[got["w"].to_numpy()] = got["class"].to_numpy()
+    return new
+
+
 @dataclass
 class Model:
     head: Head
     step: np.ndarray  #: log10 probability of a class after a class
     shape_class: int  #: the class of shape 0
-    shape_size: np.ndarray  #: training tokens of each shape beyond the clustered words
+    shape_size: np.ndarray  #: training tokens of each shape among words that are not clustered
     shape_words: np.ndarray  #: distinct ones
     tokens: int
     vocabulary: int
@@ -218,71 +359,54 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     counts = staged(count_words(learn), "lm-counts")
     tokens, vocabulary = counts.agg(F.sum("c"), F.count("*")).first()
     tokens = tokens or 0
-    head = head_of(counts.where(F.col("h") != END_KEY), HEAD)
-    top = min(CLUSTERED, len(head))
-    shapes = counts.where("shape >= 0").groupBy("shape").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()
+    head = counts.where((F.col("c") >= LEAST) & (F.col("h") != END_KEY)).select("h", "c").toArrow()
+    keys, c = head["h"].to_numpy(), head["c"].to_numpy()
+    order = np.argsort(keys)
+    keys, c = keys[order], c[order]
+    size = len(keys)
+    shapes = counts.where((F.col("shape") >= 0) & (F.col("c") < LEAST)).groupBy("shape").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()
     shape_size, shape_words = np.zeros(SHAPES), np.zeros(SHAPES)
     for row in shapes:
         shape_size[row["shape"]], shape_words[row["shape"]] = row["c"], row["n"]
-    for c, s in zip(head["c"][:top], head["shape"][:top], strict=True):
-        shape_size[s] -= c
-        shape_words[s] -= 1
 
     # Symbols: the clustered words, the shapes, the end (also before the first token).
-    end = top + SHAPES
-    symbols = end + 1
-    rank = np.where(np.arange(len(head)) < top, np.arange(len(head)), top + head["shape"].to_numpy(np.int64))
-    order = np.argsort(head["h"].to_numpy(np.int64))
-    keys = head["h"].to_numpy(np.int64)[order]
-    first = Head(keys, {"symbol": rank[order].astype(np.int64)})
-    shared = docs.sparkSession.sparkContext.broadcast(first)
-
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = np.zeros(symbols * symbols, np.int64)
-        known = shared.value
-        codes, symbol = known.codes(), known.columns["symbol"]
-        for batch in batches:
-            for text in batch["text"]:
-                seq = np.full(1, end)
-                if at := words(text):
-                    got = codes.of(at)
-                    beyond = got < 0
-                    seq = np.full(len(got) + 1, end)
-                    seq[:-1][~beyond] = symbol[got[~beyond]]
-                    seq[:-1][beyond] = top + codes.shapes[-got[beyond] - 1]
-                both = np.concatenate([[end], seq[:-1]]) * symbols + seq
-                np.add.at(found, both, 1)
-        at = np.flatnonzero(found)
-        yield pd.DataFrame({"pair": at, "n": found[at]})
-
-    got = learn.mapInPandas(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast(Head(keys, {}))
+    bigrams = staged(word_bigrams(learn, shared, size), "lm-bigrams")
     shared.unpersist()
-    bigrams = np.zeros((symbols, symbols))
-    bigrams.ravel()[got["pair"].to_numpy()] = got["n"].to_numpy()
+    top = min(SEEDS, size)
     classes = min(CLASSES, top)
-    of = exchange(bigrams, top, classes, ROUNDS)
     total = classes + SHAPES + 1
-    pick = np.zeros((symbols, total))
-    pick[np.arange(symbols), of] = 1
-    grid = pick.T @ bigrams @ pick
-    size = grid.sum(0)
-    alone = (size + 1) / (size.sum() + total)
+    beyond = np.arange(SHAPES + 1)
+    if size:
+        seeds = np.lexsort((keys, -c))[:top]
+        # Before the first pass the other words are all in a class of their own, the last shape's.
+        rank = np.concatenate([np.full(size, top + SHAPES - 1), top + beyond])
+        rank[seeds] = np.arange(top)
+        start = exchange(class_bigrams(bigrams, rank, top + SHAPES + 1), top, classes, ROUNDS)
+        of = start[rank].astype(np.int16)
+    else:
+        of = (classes + beyond).astype(np.int16)
+    grid = class_bigrams(bigrams, of, total)
+    for turn in range(PASSES if size else 0):
+        new = moved(bigrams, of, grid, size, classes)
+        then = class_bigrams(bigrams, new, total)
+        # The first pass brings the words out of the shape's class, so it always counts.
+        if turn and likelihood(then) <= likelihood(grid):
+            break
+        of, grid = new, then
+    mass = grid.sum(0)
+    alone = (mass + 1) / (mass.sum() + total)
     step = np.log10((grid + BACK * alone) / (grid.sum(1, keepdims=True) + BACK))
 
-    c = head["c"].to_numpy(np.float64)
-    class_words = np.bincount(of[:top], minlength=total)
-    class_size = np.bincount(of[:top], c[:top], minlength=total)
-    word_class = of[rank] if len(head) else np.zeros(0, np.int64)
-    in_top = np.arange(len(head)) < top
-    by_shape = head["shape"].to_numpy(np.int64)
-    mass = np.where(in_top, class_size[word_class], shape_size[by_shape])
-    kinds = np.where(in_top, class_words[word_class], shape_words[by_shape])
+    word_class = of[:size].astype(np.int64)
+    class_words = np.bincount(word_class, minlength=total)
+    class_size = np.bincount(word_class, c, minlength=total)
     columns = {
         "base": np.log10((c + ADD) / (tokens + ADD * (vocabulary + 1))),
-        "emit": np.log10((c + ADD) / (mass + ADD * (kinds + 1))),
-        "class": word_class,
+        "emit": np.log10((c + ADD) / (class_size[word_class] + ADD * (class_words[word_class] + 1))),
+        "class": of[:size],
     }
-    model = Model(Head(keys, {k: v[order] for k, v in columns.items()}), step, classes, shape_size, shape_words, int(tokens), int(vocabulary))
+    model = Model(Head(keys, columns), step, classes, shape_size, shape_words, int(tokens), int(vocabulary))
     return model, counts
 
 

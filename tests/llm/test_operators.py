@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 from math import log10
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -274,6 +275,37 @@ def test_language_scores(spark, odd):
     assert alone[0]["n_tokens"] == 1
 
 
+def test_language_model_clusters_all_but_rare_words(spark):
+    # Words of two kinds take turns, 1,200 of each, all of one shape and frequency.
+    rng = random.Random(4)
+    name = lambda k: "".join(chr(97 + k // 26**e % 26) for e in range(3))
+    kinds = [[f"{name(k)}{end}" for k in range(1200)] for end in "xy"]
+    rows = [(1000 + k, " ".join(rng.choice(kinds[at % 2]) for at in range(400)), "s") for k in range(160)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    model, _ = brown.train(df)
+    found = dict(zip(model.head.keys.tolist(), model.head.columns["class"].tolist(), strict=True))
+    counts = Counter(w for i, t, _ in rows if zlib.crc32(str(i).encode()) % 10 for w in t.split())
+    frequent = [w for w, n in counts.items() if n >= brown.LEAST]
+    assert len(frequent) > 2000 and set(found) == {brown.key(w.encode()) for w in frequent}
+    a, b = (Counter(found[brown.key(w.encode())] for w in frequent if w[-1] == end) for end in "xy")
+    assert max(found.values()) < brown.CLASSES
+    assert sum(n for c, n in a.items() if n > b[c]) + sum(n for c, n in b.items() if n > a[c]) > 0.95 * len(frequent)
+
+
+def test_moving_all_words_agrees_with_moving_one():
+    rng = np.random.default_rng(3)
+    bigrams, of = rng.integers(0, 9, (14, 14)).astype(float), np.concatenate([np.arange(12) % 3, [3, 4]])
+    pick = np.eye(5)[of]
+    grid = pick.T @ bigrams @ pick
+    got = brown.best_classes(grid, 3, of[:12], bigrams[:12] @ pick, bigrams.T[:12] @ pick, np.diag(bigrams)[:12])
+    for w in range(12):
+        tried = []
+        for c in range(3):
+            pick = np.eye(5)[np.where(np.arange(14) == w, c, of)]
+            tried.append(brown.likelihood(pick.T @ bigrams @ pick))
+        assert tried[got[w]] > max(tried) - 1e-6
+
+
 def brute_jaccard(rows, n, num, den):
     sets = []
     for _, t, _ in rows:
