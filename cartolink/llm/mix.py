@@ -55,14 +55,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], max_epochs: int) -> Data
     return s.select("key", "source_size", F.when(F.col("free"), share).otherwise(F.col("cap").cast("double")).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, seed: str = "") -> DataFrame:
-    """(doc_id, text, source) -> doc_id, size, source_size, target, taken, source.
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, seed: str = "", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, source) -> doc_id, size, source_size, target, taken, source, and ``carry``.
 
     Sources by code point, null last, take ``weights`` in turn.  The budget is
-    the number of all words.  ``taken`` counts repeats.
+    the number of all words.  ``taken`` counts repeats.  ``carry`` names columns of
+    ``docs`` that each row keeps.
     """
     key = F.when(F.col("source").isNull(), "x").otherwise(F.concat(F.lit("v"), F.col("source").cast("string")))
-    rows = staged(docs.select("doc_id", key.alias("key"), word_count(F.col("text")).alias("size")), "mix-sizes")
+    rows = staged(docs.select("doc_id", key.alias("key"), word_count(F.col("text")).alias("size"), *carry), "mix-sizes")
     ranges = max(LEAST_RANGES, rows.count() // RANGE_ROWS)
     rows = rows.withColumn("h", F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     rows = rows.withColumn("range", F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * ranges / 2**32))
@@ -74,7 +75,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int =
 
     queue = Window.partitionBy("key", "range").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.join(starts, ["key", "range"]).withColumn("upto", F.col("before") + F.sum("size").over(queue))
-    placed = staged(placed.select("doc_id", "key", "size", "source_size", "target", "upto"), "mix-placed")
+    placed = staged(placed.select("doc_id", "key", "size", "source_size", "target", "upto", *carry), "mix-placed")
 
     epochs = F.sequence(F.lit(0), F.lit(max_epochs - 1))
     turn = placed.where("size > 0").select("key", "size", "target", "source_size", "upto", F.explode(epochs).alias("epoch"))
@@ -107,7 +108,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int =
     times = sum((F.when(in_mix(e), 1).otherwise(0) for e in range(max_epochs)), F.lit(0))
     taken = F.when(F.col("size") > 0, times * F.col("size")).otherwise(0).cast("long")
     source = F.when(F.col("key") != "x", F.expr("substring(key, 2)"))
-    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), source.alias("source"))
+    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), source.alias("source"), *carry)
 
 
 ORACLE = r"""

@@ -5,11 +5,14 @@ returns a DataFrame; what it returns is written as Parquet and read again as the
 next one's ``docs``.  All but the last return the columns of ``documents``.  As a
 stage begins when the one before it has been written, it deletes that one's
 intermediate tables.
+
+Decisions come back to rows by a key of the row, not by ``doc_id``: rows with a null
+id and rows that share an id are decided one by one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartolink.llm import decontaminate, fuzzy_lines, mix, partenum, quality
@@ -35,27 +38,48 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the least id.
 
-    Shingles of five words, similarity 0.8.
+    Shingles of five words, similarity 0.8.  A null id comes after all others.  Of rows
+    equal in id and text one stays, unless they have no words.
     """
     release(spark)
-    groups = partenum.jaccard_components(docs, n=5, num=80, den=100)
-    gone = staged(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near-gone")
-    return docs.select(COLUMNS).join(sent(gone, gone.count()), "doc_id", "left_anti").select(COLUMNS)
+    rows = docs.select(*COLUMNS, fuzzy_lines.row_key().alias("row"))
+    groups = partenum.jaccard_components(rows.select(F.col("row").alias("doc_id"), "text"), n=5, num=80, den=100)
+    nodes = groups.groupBy(F.col("doc_id").alias("row"), F.col("component_id").alias("root")).agg(F.count("*").alias("copies"), F.max("n_shingles").alias("n"))
+    nodes = staged(nodes.join(rows.select("row", "doc_id").distinct(), "row"), "near-nodes")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    # Only groups of several nodes lose any; the others are not listed again.
+    first = nodes.groupBy("root").agg(F.min(place).alias("kept"), F.count("*").alias("nodes")).where("nodes > 1")
+    gone = staged(nodes.join(first, "root").where("row <> kept.row").select("row"), "near-gone")
+    left = rows.join(sent(gone, gone.count()), "row", "left_anti")
+    several = staged(nodes.where("copies > 1 and n > 0").select("row"), "near-several")
+    several = sent(several, several.count())
+    number = F.row_number().over(Window.partitionBy("row").orderBy("source", "lang", "n_chars"))
+    one = left.join(several, "row", "left_semi").withColumn("number", number).where("number = 1")
+    return left.join(several, "row", "left_anti").select(COLUMNS).unionByName(one.select(COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     release(spark)
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = staged(found.select("doc_id").distinct(), "clean-gone")
-    return docs.select(COLUMNS).join(sent(gone, gone.count()), "doc_id", "left_anti").select(COLUMNS)
+    rows = docs.select(*COLUMNS, fuzzy_lines.row_key().alias("row"))
+    found = decontaminate.contaminated(rows.select(F.col("row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = staged(found.select(F.col("doc_id").alias("row")).distinct(), "clean-gone")
+    return rows.join(sent(gone, gone.count()), "row", "left_anti").select(COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, with the words that it takes of each; repeats count."""
+    """The documents of the mix, with the words that it takes of each; repeats count.
+
+    Rows equal in all columns are told apart by their number.
+    """
     release(spark)
-    taken = mix.mix(docs).where("taken > 0").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in ("size", "source_size", "target", "taken")])
-    return docs.select(COLUMNS).join(taken, "doc_id").select(*COLUMNS, "size", "source_size", "target", "taken")
+    sizes = ["size", "source_size", "target", "taken"]
+    rows = docs.select(*COLUMNS, F.xxhash64(fuzzy_lines.row_key(), "source", F.col("source").isNull(), "lang", F.col("lang").isNull(), "n_chars", F.col("n_chars").isNull()).alias("row"))
+    placed = mix.mix(rows, carry=("row",)).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("taken", *sizes[:3])), False).alias("all"))
+    # A key's rows have one size and source; the first of them get the most.
+    number = F.row_number().over(Window.partitionBy("row").orderBy("row"))
+    both = rows.withColumn("number", number).join(placed.where("all[0].taken > 0"), "row").withColumn("one", F.get("all", F.col("number") - 1))
+    return both.where("one.taken > 0").select(*COLUMNS, *[F.col(f"one.{c}").alias(c) for c in sizes])
 
 
 STAGES = [

@@ -45,6 +45,26 @@ def test_stages(spark, folder):
     assert mixed.where("taken < 1 or taken > 3 * size").count() == 0 and mixed.count() > 100
 
 
+def test_null_and_repeated_ids(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").first()["text"]
+    rng = random.Random(2)
+    prose = lambda n: " ".join("".join(rng.choices("aeilnorst", k=6)) for _ in range(n))
+    text, other, same = prose(40), prose(40), prose(40)
+    rows = [(None, text, "s0"), (None, other, "s1"), (7, same, "s0"), (7, same, "s0"), (7, prose(30), "s0"), (8, text, "s0"), (9, "", "s0"), (9, "", "s0")]
+    odd = lambda more: spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows + more], docs.schema)
+    # Copies of one id, and a copy without an id, go; texts of one id that differ stay.
+    near = sorted(rows_of(cp.ngram_jaccard(spark, odd([]), folder)), key=str)
+    assert near == sorted([rows[1], rows[2], rows[4], rows[5], rows[6], rows[7]], key=str)
+    bad = [(None, prose(5) + " " + item, "s0"), (8, item, "s1")]
+    assert sorted(rows_of(cp.decontamination(spark, odd(bad), folder)), key=str) == sorted(rows, key=str)
+    mixed = cp.mix_sources(spark, odd([]), folder)
+    found = cp.mix.mix(odd([])).where("taken > 0")
+    words = lambda df: sorted((str(r["doc_id"]), r["size"], r["taken"]) for r in df.collect())
+    assert words(mixed) == words(found) and mixed.where("doc_id is null").count() > 0
+    assert mixed.where("size <> size(split(text, ' '))").count() == 0
+
+
 def test_run(spark, folder):
     got = cp.run(spark, folder)
     ids = {r[0] for r in rows_of(got)}
