@@ -4,8 +4,9 @@ Each node of the page's tree gets a density: characters for each tag below it,
 lowered where much of the text is links.  A node's density sum adds up its
 children's densities; the node with the largest sum holds the main text.  Its
 enclosing ``article`` or ``main`` is taken where there is one; where there is
-none, siblings join in whose density reaches the lowest on the path from the body
-to it.  Menus, headers, footers, sidebars, notices, adverts, forms and reader
+none, the lowest density on the path from the body to it is a threshold.  Siblings
+that reach it join in, and so does the part with the largest density sum of every
+element that reaches it, as do all elements around it.  Menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments are known by tag, role, class or id and count for nothing.
 
 Null and empty pages give an empty text.  Tags that are open at the end are
@@ -214,6 +215,17 @@ class Page:
         if chosen is None:
             least = min(density[i] for i in path)
             roots = {best} | {i for i in range(1, n) if best and self.parent[i] == self.parent[best] and self.tag[i] in BLOCK and density[i] >= least}
+            densest = list(range(n))  # of each node's subtree
+            for i in range(n - 1, 0, -1):
+                up = self.parent[i]
+                if not self.skip[i] and (sums[densest[i]], -densest[i]) > (sums[densest[up]], -densest[up]):
+                    densest[up] = densest[i]
+            reached = [True] * n
+            for i in range(1, n):
+                block = self.tag[i] in BLOCK or self.tag[i] in ("td", "th")
+                reached[i] = reached[self.parent[i]] and block and not self.skip[i] and density[i] >= least
+                if reached[i]:
+                    roots.add(densest[i])
         inside = [False] * n
         for i in range(n):
             inside[i] = (i in roots or (i > 0 and inside[self.parent[i]])) and not self.skip[i]

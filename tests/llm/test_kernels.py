@@ -137,6 +137,16 @@ def test_html_odd(source, text):
     assert html_text.main_text(source) == text
 
 
+def test_html_takes_cousins():
+    # Two rows of columns: neither holds the other's paragraphs, nor does one column's siblings.
+    rows = [[f"{chr(97 + row)}{k} " + "word " * 60 for k in range(n)] for row, n in enumerate((6, 5))]
+    row = lambda texts: '<div class="row"><div class="col">' + "".join(f"<p>{t}</p>" for t in texts) + "</div></div>"
+    page = "<body>" + "<div>" + row(rows[0]) + row(rows[1]) + "</div></body>"
+    assert html_text.main_text(page).split("\n") == [t.strip() for t in rows[0] + rows[1]]
+    menu = '<div class="row"><div>' + "".join(f'<a href="/{k}">go {k}</a>' for k in range(30)) + "</div></div>"
+    assert html_text.main_text(page.replace("</div></body>", menu + "</div></body>")).split("\n") == [t.strip() for t in rows[0] + rows[1]]
+
+
 def test_html_deep():
     assert html_text.main_text("<div>" * 20_000 + "x") == "x"
 
