@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import text_parts
+from .meeting import partitions
 
 SAMPLES = 64
 #: Terms whose draws a worker keeps at once, and documents that it works on together.
@@ -140,8 +140,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     from pyspark.ml.feature import Bucketizer
 
     rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "coalesce(cast(text as string), '') text")
-    parts = text_parts(docs.sparkSession)
-    ranges = 4 * parts
+    # Both grow with the texts; many ranges a partition, so that none gets far more than its share.
+    parts = partitions(rows)
+    ranges = 12 * parts
     edges = rows.select(F.col("doc_id").cast("double").alias("at")).approxQuantile("at", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
     splits = [-float("inf"), *(sorted(set(edges)) or [0.0]), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="at", outputCol="range", handleInvalid="keep")

@@ -3,24 +3,17 @@
 Every line has a MinHash signature of its character shingles (one hash of each
 shingle deals it to a place, each place keeps its least; empty places borrow from
 places that a fixed sequence names).  Lines that agree on all of a band are
-candidates; with 20 bands of 8 places, of lines of similarity 0.8 some 97 in 100
-pairs are, of similarity 0.9 all but some in 10**5.  Candidates are compared
-exactly, and lines that reach the threshold are joined by distributed union-find.
-The line that comes first, by document id and place, stays.
-
-A line is compared with the first line of a bucket that most of its buckets name;
-what that leaves in different components is then compared with the first of each
-other component in the bucket, so a bucket never lists the pairs of a family.  All
-pairs of a bucket that are still in different components are compared last.  A pair
-is passed over only if a lower bound on its difference (``sketch``: the parity of
-hash counts, by which the difference can only shrink) shows that it can't reach the
-threshold, so every candidate counts.  Equal lines, the bulk of all repeats, are one
-node from the start, whatever their number.
+candidates; with 16 bands of 7 places, of lines of similarity 0.8 some 97 in 100
+pairs are, of similarity 0.9 all but some in 10**5.  All candidates count:
+``meeting`` compares them exactly, and lines that reach the threshold are joined by
+distributed union-find.  The line that comes first, by document id and place, stays.
+Equal lines, the bulk of all repeats, are one node from the start, whatever their
+number.
 
 A line is compared without white space at its ends; a line shorter than a shingle
 is a shingle.  Blank lines are no lines: they stay and join nothing.  A null text
 has no lines.  Rows equal in id and text are one document and get one answer; a
-null id comes after all others.
+null id comes after all others.  Other columns are carried as they are.
 """
 
 from __future__ import annotations
@@ -31,19 +24,15 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .meeting import PACKED_SCHEMA, Packer, linked_up, meet, padded, partitions
 from .shingles import mixed
-from .staging import sent, staged
+from .staging import Sieve, may_hold, staged
 
-SHINGLE, BANDS, ROWS = 6, 20, 8
+SHINGLE, BANDS, ROWS = 6, 16, 7
 NUM, DEN = 80, 100
-#: Ids of lines that are sent to all tasks at most; beyond, texts come by a join.
-SENT = 4_000_000
-#: 64-bit words of a sketch.
-WORDS = 8
 PRIME = np.uint64(0x100000001B3)
 SMALL_PRIME = np.uint32(0x01000193)
 
@@ -57,30 +46,40 @@ def lines_of(text: object) -> list[str]:
     return [x.strip() for x in text.split("\n")] if isinstance(text, str) else []
 
 
-def _hashes(points: np.ndarray) -> np.ndarray:
-    """A hash for each run of ``SHINGLE`` characters."""
-    n = len(points) - SHINGLE + 1
-    out = np.zeros(n, np.uint64)
-    for k in range(SHINGLE):
-        out = out * PRIME + points[k : k + n]
-    return mixed(out)
+def _points(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All lines' characters in a row, where shingles begin, and how many each line has."""
+    # Zeros part the lines, enough for a short line to have a shingle.
+    joined = "".join(x + "\0" * SHINGLE for x in lines)
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.array([len(x) for x in lines])
+    # A line's shingles end with the line; those that reach into the next part go.
+    counts = np.maximum(sizes - SHINGLE + 1, 1)
+    inside = np.ones(len(points), bool)
+    ends = np.cumsum(sizes + SHINGLE)
+    drop = sizes + SHINGLE - counts
+    inside[np.repeat(ends - drop, drop) + np.arange(drop.sum()) - np.repeat(np.cumsum(drop) - drop, drop)] = False
+    return points, inside[: len(points) - SHINGLE + 1], counts
 
 
-def shingles(line: str) -> np.ndarray:
-    """The distinct shingles of one line, in ascending order."""
-    points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    if len(points) < SHINGLE:
-        points = np.concatenate([points, np.zeros(SHINGLE - len(points), np.uint64)])
-    found = np.sort(_hashes(points))
-    return found[np.append(True, found[1:] != found[:-1])]
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """The distinct shingles of each line, in ascending order."""
+    if not lines:
+        return []
+    points, inside, counts = _points(lines)
+    n = len(inside)
+    h = np.zeros(n, np.uint64)
+    for k in range(SHINGLE):
+        h = h * PRIME + points[k : k + n]
+    h, ends = mixed(h[inside]), np.cumsum(counts)
+    out = []
+    for s, e in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+        one = np.sort(h[s:e])
+        out.append(one[np.append(True, one[1:] != one[:-1])])
+    return out
 
 
-def shared(a: np.ndarray, b: np.ndarray) -> int:
-    """How many elements two sorted sets have in common."""
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    return int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
+def shingles(line: str) -> np.ndarray:
+    return shingle_sets([line])[0]
 
 
 @cache
@@ -94,17 +93,8 @@ def _lenders(places: int, tries: int) -> np.ndarray:
 def bands(lines: list[str]) -> np.ndarray:
     """(lines, BANDS) keys of the lines' signatures, all lines at once."""
     places = BANDS * ROWS
-    # Blanks part the lines, long enough for a short line to have a shingle.
-    joined = "".join(x + "\0" * SHINGLE for x in lines)
-    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    sizes = np.array([len(x) for x in lines])
-    # A line's shingles end with the line; those that reach into the next part go.
-    counts = np.maximum(sizes - SHINGLE + 1, 1)
-    inside = np.ones(len(points), bool)
-    ends = np.cumsum(sizes + SHINGLE)
-    drop = sizes + SHINGLE - counts
-    inside[np.repeat(ends - drop, drop) + np.arange(drop.sum()) - np.repeat(np.cumsum(drop) - drop, drop)] = False
-    n = len(points) - SHINGLE + 1
+    points, inside, counts = _points(lines)
+    n = len(inside)
     h = points[:n].copy()
     for k in range(1, SHINGLE):
         h *= SMALL_PRIME
@@ -112,7 +102,7 @@ def bands(lines: list[str]) -> np.ndarray:
     for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
         h ^= h >> np.uint32(shift)
         h *= np.uint32(factor)
-    h = h[inside[:n]]
+    h = h[inside]
     slot = np.repeat(np.arange(len(lines)) * places, counts)
     slot += ((h >> np.uint32(16)) * np.uint32(places) >> np.uint32(16)).astype(np.int64)
     none = np.uint32(0xFFFFFFFF)
@@ -135,110 +125,71 @@ def bands(lines: list[str]) -> np.ndarray:
     return keys
 
 
-def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each document its lines' ids (0: blank), and the bands of lines new to the task."""
-    seen: set[int] = set()
-    for batch in batches:
-        texts = batch["text"].tolist()
-        for first in range(0, len(texts), 64):
-            ids, fresh, owner = [], [], []
-            for k, text in enumerate(texts[first : first + 64]):
-                own = []
-                for line in lines_of(text):
-                    own.append(h := line_id(line) if line else 0)
-                    if line and h not in seen:
-                        if len(seen) > 1_000_000:
-                            seen.clear()
-                        seen.add(h)
-                        fresh.append((h, line))
-                        owner.append(k)
-                ids.append(own)
-            new: list[list[int]] = [[] for _ in ids]
-            keys: list[list[int]] = [[] for _ in ids]
-            if fresh:
-                for k, (h, _), row in zip(owner, fresh, bands([x for _, x in fresh]).view(np.int64).tolist(), strict=True):
-                    new[k].append(h)
-                    keys[k] += row
-            part = slice(first, first + 64)
-            yield pd.DataFrame({"row": batch["row"][part].to_numpy(), "doc_id": batch["doc_id"][part].astype("Int64").array, "lines": ids, "fresh": new, "bands": keys})
-
-
-def _texts(wanted):
+def _signed(parts: int):
+    """For each document its lines' ids (0: blank); packed, the bands of lines new to the task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
+        packer, turn = Packer(parts), 0
+        for batch in batches:
+            texts = batch["text"].tolist()
+            for first in range(0, len(texts), 64):
+                ids, fresh = [], {}
+                for text in texts[first : first + 64]:
+                    own = []
+                    for line in lines_of(text):
+                        own.append(h := line_id(line) if line else 0)
+                        if line and h not in seen:
+                            if len(seen) > 1_000_000:
+                                seen.clear()
+                            seen.add(h)
+                            fresh[h] = line
+                    ids.append(own)
+                if fresh:
+                    keys = bands(list(fresh.values()))
+                    packer.add(keys.ravel(), np.repeat(np.fromiter(fresh, np.int64, len(fresh)), BANDS))
+                part = slice(first, first + 64)
+                turn += 1  # deals these rows evenly
+                spread = (np.arange(len(ids)) + turn * 64) % packer.labels
+                yield pd.DataFrame({"part": spread.astype(np.int32), "keys": None, "ids": None, "row": batch["row"][part].to_numpy(), "doc_id": batch["doc_id"][part].astype("Int64").array, "lines": ids})
+                if packer.full():
+                    yield padded(packer.blocks(), COLUMNS)
+        yield padded(packer.blocks(), COLUMNS)
+
+    return run
+
+
+PAYLOAD = "row long, doc_id long, lines array<long>"
+COLUMNS = ["part", "keys", "ids", "row", "doc_id", "lines"]
+
+
+def _texts(words):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keep = wanted.value if wanted is not None else None
         seen: set[int] = set()
         for batch in batches:
             found = [x for text in batch["text"] for x in lines_of(text) if x]
             ids = np.array([line_id(x) for x in found], np.int64)
-            inside = np.ones(len(ids), bool)
-            if keep is not None:
-                at = np.minimum(np.searchsorted(keep, ids), max(len(keep) - 1, 0))
-                inside = keep[at] == ids if len(keep) else np.zeros(len(ids), bool)
             rows = []
-            for k in np.flatnonzero(inside).tolist():
+            for k in np.flatnonzero(may_hold(words.value, ids)).tolist():
                 if (h := int(ids[k])) not in seen:
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(h)
                     rows.append((h, found[k]))
-            yield pd.DataFrame(rows, columns=["line", "text"]).astype({"line": "int64", "text": "object"})
+            yield pd.DataFrame(rows, columns=["node", "x"]).astype({"node": "int64", "x": "object"})
 
     return run
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(line, text) of the lines whose ids are ``wanted``, once each."""
-    wanted = staged(wanted.distinct(), "fl-wanted")
-    n = wanted.count()
-    shared = None
-    if n <= SENT:  # 8 bytes an id
-        shared = docs.sparkSession.sparkContext.broadcast(np.sort(wanted.toArrow()["line"].to_numpy()))
-    found = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(_texts(shared), "line long, text string")
-    if shared is None:
-        found = found.join(wanted, "line", "left_semi")
-    return staged(found.groupBy("line").agg(F.first("text").alias("text")), "fl-texts")
-
-
-def _same(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        keep, held, left = [], None, None
-        for a, b in zip(batch["text_a"], batch["text_b"], strict=True):
-            if held != a:
-                held, left = a, shingles(a)
-            right = shingles(b)
-            both = shared(left, right)
-            keep.append(DEN * both >= NUM * (len(left) + len(right) - both))
-        yield batch.loc[keep, ["a", "b"]]
-
-
-def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    side = lambda c: texts.select(F.col("line").alias(c), F.col("text").alias(f"text_{c}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-    return both.mapInPandas(_same, "a long, b long")
-
-
-def sketch(x: np.ndarray) -> np.ndarray:
-    """Parity of how many hashes fall on each of ``64 * WORDS`` bits."""
-    size = 64 * WORDS
-    counts = np.bincount((x & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
-    return np.packbits(counts.astype(np.uint8), bitorder="little").view(np.int64)
-
-
-def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        sets = [shingles(x) for x in batch["text"]]
-        words = np.array([sketch(x) for x in sets], np.int64).reshape(-1, WORDS)
-        yield pd.DataFrame({"node": batch["line"], "n": [len(x) for x in sets]} | {f"s{k}": words[:, k] for k in range(WORDS)})
-
-
-def across(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one band in different components, without those whose sketches exclude a link."""
-    side = lambda df, c: df.select("band", *[F.col(x).alias(f"{x}_{c}") for x in df.columns if x != "band"])
-    sizes = f"n_a * {DEN} >= n_b * {NUM} and n_b * {DEN} >= n_a * {NUM}"
-    differ = " + ".join(f"bit_count(s{k}_a ^ s{k}_b)" for k in range(WORDS))
-    both = side(left, "a").join(side(right, "b"), "band").where("root_a <> root_b").where(sizes)
-    both = both.where(f"({differ}) * {DEN + NUM} <= (n_a + n_b) * {DEN - NUM}")
-    return both.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    """(node, x): the texts of the lines whose ids are ``wanted``, once each.
+
+    The sieve leaves out most other lines before the shuffle.
+    """
+    wanted = staged(wanted, "fl-wanted")
+    shared = docs.sparkSession.sparkContext.broadcast(Sieve(wanted, "node").words)
+    found = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(_texts(shared), "node long, x string")
+    return found.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("x").alias("x"))
 
 
 def repeated(docs: DataFrame) -> DataFrame:
@@ -247,48 +198,20 @@ def repeated(docs: DataFrame) -> DataFrame:
     ``row`` is ``row_key`` of the document.
     """
     read = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = staged(read.mapInPandas(_signed, "row long, doc_id long, lines array<long>, fresh array<long>, bands array<long>"), "fl-lines")
-
-    fresh = signed.select(F.posexplode("fresh").alias("k", "line"), "bands")
-    keyed = fresh.select("line", F.explode(F.slice("bands", F.col("k") * BANDS + 1, F.lit(BANDS))).alias("band"))
-    by_band = Window.partitionBy("band").orderBy("line")
-    led = keyed.withColumn("a", F.first("line").over(by_band.rowsBetween(Window.unboundedPreceding, 0)))
-    led = staged(led.where("a <> line").select("band", "a", F.col("line").alias("b")).distinct(), "fl-buckets")
-    pairs = staged(led.groupBy("a", "b").agg(F.count("*").alias("votes")), "fl-pairs")
-    texts = line_texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("line")))
-    best = staged(pairs.groupBy("b").agg(F.max_by("a", F.struct("votes", -F.col("a"))).alias("a")), "fl-best")
-    links = staged(verified(texts, best), "fl-links")
-    roots = components(links)
-
-    # Members of a bucket, its first among them, that are still apart.
-    members = staged(led.select("band", F.col("b").alias("node")).unionByName(led.select("band", F.col("a").alias("node")).distinct()), "fl-members")
-    tried, info = best, None
-    for last in (False, True):
-        placed = members.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-        spread = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-        apart = staged(placed.join(spread, "band").distinct(), "fl-apart")
-        if info is None:
-            open_ = apart.select(F.col("node").alias("line")).distinct()
-            schema = "node long, n long, " + ", ".join(f"s{k} long" for k in range(WORDS))
-            info = staged(texts.join(open_, "line", "left_semi").mapInPandas(_sketched, schema), "fl-sketches")
-        apart = staged(apart.join(info, "node"), "fl-open")
-        # Each member meets the first of every other component; then all that is still apart meets.
-        firsts = apart if last else apart.join(apart.groupBy("band", "root").agg(F.min("node").alias("node")), ["band", "root", "node"], "left_semi")
-        rest = staged(across(apart, firsts).join(tried, ["a", "b"], "left_anti"), "fl-rest")
-        if not rest.isEmpty():
-            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(verified(texts, rest))
-            roots = components(staged(links, "fl-links"))
-        tried = tried.select("a", "b").unionByName(rest)
+    parts = partitions(read)
+    signed = staged(meet(read.mapInPandas(_signed(parts), f"{PACKED_SCHEMA}, {PAYLOAD}"), parts, PAYLOAD), "fl-signed")
+    roots = linked_up(signed.where("sig is not null").select("sig", "a", "b"), lambda wanted: line_texts(docs, wanted), shingle_sets, NUM, DEN)
 
     # Where each line occurs, and the first place of its component.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at")
-    occurs = signed.select("row", "doc_id", F.posexplode("lines").alias("at", "line")).where("line <> 0")
-    occurs = staged(occurs.withColumn("place", place).select("row", "at", "line", "place"), "fl-occurs")
-    first = occurs.groupBy("line").agg(F.min("place").alias("place"), F.max("place").alias("last"))
+    occurs = signed.where("sig is null").select("row", "doc_id", F.posexplode("lines").alias("at", "line")).where("line <> 0")
+    first = occurs.groupBy("line").agg(F.min(place).alias("place"), F.max(place).alias("last"))
     first = first.join(roots.withColumnRenamed("node", "line"), "line", "left")
-    first = staged(first.where("root is not null or place <> last").select("line", F.coalesce("root", "line").alias("root"), "place"), "fl-first")
-    kept = first.groupBy("root").agg(F.min("place").alias("kept"))
-    gone = occurs.join(first.select("line", "root").join(kept, "root").select("line", "kept"), "line").where("place <> kept")
+    first = staged(first.where("root is not null or place <> last").select("line", "root", "place"), "fl-first")
+    several = first.where("root is not null")
+    kept = staged(several.groupBy("root").agg(F.min("place").alias("kept")), "fl-kept")
+    first = several.join(kept, "root").select("line", "kept").unionByName(first.where("root is null").select("line", F.col("place").alias("kept")))
+    gone = occurs.join(first, "line").where(place != F.col("kept"))
     return gone.groupBy("row").agg(F.sort_array(F.collect_set("at")).alias("dropped"))
 
 
@@ -300,16 +223,17 @@ def row_key():
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with ``text`` rewritten, ``n_lines`` and ``n_removed``.
 
-    ``n_lines`` counts lines that are not blank.
+    ``n_lines`` counts lines that are not blank.  Only rows that may lose lines are shuffled.
     """
-    dropped = staged(repeated(docs), "fl-dropped")
-    lines_gone = dropped.agg(F.sum(F.size("dropped"))).first()[0] or 0
-    dropped = sent(dropped, lines_gone).select(F.col("row").alias("_fl_row"), F.col("dropped").alias("_fl_dropped"))
-    rows = docs.withColumn("_fl_row", row_key()).join(dropped, "_fl_row", "left").drop("_fl_row")
+    dropped = staged(repeated(docs), "fl-dropped").select(F.col("row").alias("_fl_row"), F.col("dropped").alias("_fl_dropped"))
+    rows = docs.withColumn("_fl_row", row_key())
+    may = Sieve(dropped, "_fl_row").may(F.col("_fl_row"))
+    none = F.lit(None).cast("array<int>").alias("_fl_dropped")
+    rows = rows.where(~may).select("*", none).unionByName(rows.where(may).join(dropped, "_fl_row", "left")).drop("_fl_row")
     lines = F.split(F.col("text").cast("string"), "\n", -1)
     left = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col("_fl_dropped"), s["i"]))
     text = F.when(F.col("_fl_dropped").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda s: s["x"]), "\n"))
-    full = F.size(F.filter(lines, lambda x: F.length(F.regexp_replace(x, r"(?U)[\s\x1c-\x1f]+", "")) > 0))
+    full = F.size(F.filter(lines, lambda x: F.rlike(x, F.lit(r"(?U)[^\s\x1c-\x1f]"))))
     rows = rows.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(full).cast("long"))
     rows = rows.withColumn("n_removed", F.coalesce(F.size("_fl_dropped"), F.lit(0)).cast("long"))
     return rows.withColumn("text", text).drop("_fl_dropped")

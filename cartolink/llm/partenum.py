@@ -1,27 +1,25 @@
 """Exact Jaccard similarity join of word-shingle sets by PartEnum signatures.
 
-Sets of sizes s and t that are similar enough differ in at most ``H = (s + t) *
+Sets of sizes s and t that are similar enough differ in at most ``h = (s + t) *
 (1 - j) / (1 + j)`` elements.  Sets of a band of sizes cut the domain of shingle
-hashes into the same parts, more of them than H: so two similar sets agree on all
-of at least one part.  A set enumerates its parts; what it holds in a part is a
-signature.  A set need enumerate only as many parts as its own size allows
-partners to differ in; it does so in its own band and, where a partner may be
-there, in the next.  Empty parts say little: ``spare`` further parts make up for
-as many of them, and only a set with more empty ones lists those too.  So no link
-is lost.
-
-Signatures lead to links in two steps, neither of which lists all pairs of a
-bucket.  First each member is compared with a leader, the bucket's least member
-that most buckets name for it; families of near copies fall together here.  What
-is left are members of one bucket in different components; these pairs are
-compared unless a lower bound on their difference (``sketch``: the parity of hash
-counts, by which the difference can only shrink) already exceeds H.  Links are
-exact: whole shingle sets are compared.
+hashes into the same parts, more than ``h / 2`` of them: so two similar sets differ
+in at most one element in at least one part.  A part is cut again, into ``SUBS``
+smaller ones, of which the sets then agree on all but one.  A set enumerates, for
+each part, the subsets that leave out one of its smaller parts; what it holds in
+such a subset is a signature.  A set need enumerate only as many parts as its own
+size allows partners to differ in; it does so in its own band and, where a partner
+may be there, in the next.  Empty subsets say little: ``spare`` further parts make
+up for as many parts with one, and only a set with more of these lists empty ones
+too.  So no link is lost.
+
+Signatures lead to links as ``meeting`` says: members of a bucket are compared, by
+their whole shingle sets, until no two that are not yet connected could link.
 
 Equal sets are joined by a digest first and only the least id of a task's equal
 sets lists signatures.  A document without words links with nothing.  Rows that
 share an id are one node; rows with a null id link with nothing and have a null
-component.
+component.  Very long texts have as many signatures as their size asks for.  Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -37,12 +35,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .meeting import PACKED_SCHEMA, Packer, linked_up, meet, padded, partitions
 from .shingles import mixed, shingle_set
-from .staging import staged
+from .staging import Sieve, staged
 
-#: Ratio of a band's ends.
-BAND = 1.5
+#: Ratio of a band's ends, and smaller parts in a part.
+BAND, SUBS = 1.5, 3
 
 
 class Plan:
@@ -67,9 +65,10 @@ class Plan:
     def band(self, b: int) -> tuple[int, int]:
         """(parts, spare) of band ``b``."""
         low, high = self.edges[b], self.edges[b + 1] - 1
-        most = self.differ(high, high) + 1
+        most = self.differ(high, high) // 2 + 1
         smallest = max(1, low * self.num // self.den)
-        spare = int(1.5 * most * np.exp(-smallest / most)) + 2
+        # Parts with an empty subset, as many as may be expected and half as many more.
+        spare = int(1.5 * most * SUBS * np.exp(-smallest / most * (SUBS - 1) / SUBS)) + 2
         return most + spare, spare
 
     def groups(self, s: int) -> Iterator[tuple[int, int, int, int]]:
@@ -82,7 +81,7 @@ class Plan:
             h = self.differ(s, partner)
             parts, spare = self.band(b)
             if h:  # else only equal sets link
-                yield b, parts, min(parts, h + 1 + spare), spare
+                yield b, parts, min(parts, h // 2 + 1 + spare), spare
 
     def signatures(self, x: np.ndarray) -> np.ndarray:
         """Of a set of hashes in ascending order."""
@@ -90,11 +89,13 @@ class Plan:
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(x + np.uint64(0x51)), dtype=np.uint64)])
         high = (x >> np.uint64(32)).astype(np.int64)
         for b, parts, shown, spare in self.groups(len(x)):
-            ends = np.searchsorted(high, -(-(np.arange(shown + 1, dtype=np.int64) << 32) // parts))
-            empty = ends[1:] == ends[:-1]
-            named = np.arange(shown, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((b + 1) * 0xD1342543DE82EF95 % (1 << 64))
-            sig = mixed(mixed(sums[ends[1:]] - sums[ends[:-1]]) + named)
-            out.append(sig if empty.sum() > spare else sig[~empty])
+            ends = np.searchsorted(high, -(-(np.arange(shown * SUBS + 1, dtype=np.int64) << 32) // (parts * SUBS)))
+            held = (ends[1:] - ends[:-1]).reshape(shown, SUBS)
+            small = (sums[ends[1:]] - sums[ends[:-1]]).reshape(shown, SUBS)
+            named = np.arange(shown * SUBS, dtype=np.uint64).reshape(shown, SUBS) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((b + 1) * 0xD1342543DE82EF95 % (1 << 64))
+            sig = mixed(mixed(small.sum(1, dtype=np.uint64)[:, None] - small) + named)
+            empty = held.sum(1)[:, None] == held
+            out.append(sig.ravel() if empty.any(1).sum() > spare else sig[~empty])
         return np.concatenate(out)
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
@@ -104,111 +105,71 @@ class Plan:
         return self.den * both >= self.num * (len(a) + len(b) - both)
 
 
-def sketch(x: np.ndarray) -> list[int]:
-    """Parity of how many hashes fall on each bit, in 64-bit words.
+COLUMNS = ["part", "keys", "ids", "doc_id", "n", "digest"]
+PAYLOAD = "doc_id long, n long, digest binary"
 
-    The number of words is a power of two that grows with the set; a longer
-    sketch folds onto a shorter one by exclusive or of its halves.
-    """
-    size = 64
-    while size < len(x):
-        size *= 2
-    counts = np.bincount((x & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
-    return np.packbits(counts.astype(np.uint8), bitorder="little").view(np.int64).tolist()
 
+def _signed(plan: Plan, n: int, parts: int):
+    """Size and digest of each document's set; packed, the signatures of sets new to the task."""
 
-def _sets(plan: Plan, n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first: dict[bytes, int] = {}
+        first: set[bytes] = set()
+        packer, turn = Packer(parts), 0
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"], strict=True):
                 x = shingle_set(text, n)
                 known = not (doc_id is None or doc_id != doc_id)
                 digest = xxhash.xxh3_128_digest(x.tobytes())
-                new = known and len(x) and digest not in first
-                if new:
+                if known and len(x) and digest not in first:
                     if len(first) > 200_000:
                         first.clear()
-                    first[digest] = doc_id
-                rows.append((int(doc_id) if known else None, len(x), digest, plan.signatures(x).view(np.int64) if new else None, sketch(x) if new else None))
-            got = pd.DataFrame(rows, columns=["doc_id", "n", "digest", "sig", "sketch"])
-            yield got.assign(doc_id=got["doc_id"].astype("Int64"))
+                    first.add(digest)
+                    sig = plan.signatures(x)
+                    packer.add(sig, np.full(len(sig), int(doc_id), np.int64))
+                    if packer.full():
+                        yield padded(packer.blocks(), COLUMNS)
+                turn += 1  # deals these rows evenly
+                rows.append((turn % packer.labels, None, None, int(doc_id) if known else None, len(x), digest))
+            got = pd.DataFrame(rows, columns=COLUMNS)
+            yield got.assign(doc_id=got["doc_id"].astype("Int64"), part=got["part"].astype("int32"))
+        yield padded(packer.blocks(), COLUMNS)
 
     return run
 
 
-def _compare(plan: Plan, n: int):
+def _sets(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, left = None, None
         for batch in batches:
-            keep = []
-            for a, text_a, text_b in zip(batch["a"], batch["text_a"], batch["text_b"], strict=True):
-                if held != (a, text_a):  # a leader's rows come together
-                    held, left = (a, text_a), shingle_set(text_a, n)
-                keep.append(plan.linked(left, shingle_set(text_b, n)))
-            yield batch.loc[keep, ["a", "b"]]
+            sets = [shingle_set(text, n).tobytes() for text in batch["text"]]
+            yield pd.DataFrame({"node": batch["node"], "x": sets}).loc[[len(x) > 0 for x in sets]]
 
     return run
 
 
-def verified(docs: DataFrame, pairs: DataFrame, plan: Plan, n: int) -> DataFrame:
-    """The pairs (a, b) whose texts link.  Each side's text comes by a join on its id."""
-    texts = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
-    side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-    return both.mapInPandas(_compare(plan, n), "a long, b long")
-
-
-def _apart(plan: Plan):
-    """Whether sketches show that sets of sizes n_a and n_b can't link (SQL expression)."""
-    k = plan.loss
-    # Fold the longer onto the shorter: its word i falls on i modulo the shorter's length.
-    fold = "transform(sequence(0, size({s}) - 1), i -> aggregate(sequence(0, size({l}) div size({s}) - 1), 0L, (v, j) -> v ^ {l}[j * size({s}) + i]))"
-    differ = "aggregate(zip_with({s}, " + fold + ", (x, y) -> bit_count(x ^ y)), 0, (v, c) -> v + c)"
-    longer = differ.format(s="sk_a", l="sk_b")
-    shorter = differ.format(s="sk_b", l="sk_a")
-    return f"(if(size(sk_a) <= size(sk_b), {longer}, {shorter}) * {k.denominator} > (n_a + n_b) * {k.numerator})"
+def sets_of(packed: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in packed]
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id for every row of ``docs``."""
     plan = Plan(num, den)
     read = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
-    schema = "doc_id long, n long, digest binary, sig array<long>, sketch array<long>"
-    sets = staged(read.mapInPandas(_sets(plan, n), schema), "pe-sets")
-    same = sets.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("a"), F.count("*").alias("copies"))
-    equal = sets.select("doc_id", "digest").join(same.where("copies > 1"), "digest").select("a", F.col("doc_id").alias("b"))
-
-    # Only the signatures that several sets show are kept.
-    shown = sets.where("sig is not null").select("doc_id", F.explode("sig").alias("sig"))
-    from pyspark.sql import Window
-
-    by_sig = Window.partitionBy("sig").orderBy("doc_id")
-    shown = shown.withColumn("a", F.first("doc_id").over(by_sig.rowsBetween(Window.unboundedPreceding, 0))).withColumn("after", F.lead("doc_id").over(by_sig))
-    shown = staged(shown.where("a <> doc_id or after is not null").select("sig", "a", F.col("doc_id").alias("b")), "pe-buckets")
-
-    votes = shown.where("a <> b").groupBy("a", "b").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("b").agg(F.max_by("a", F.struct("votes", -F.col("a"))).alias("a"))
-    links = staged(verified(docs, best, plan, n).unionByName(equal), "pe-links")
-    roots = components(links)
-
-    # Members of one bucket that the leaders have not brought together.
-    placed = shown.select("sig", F.col("b").alias("node")).join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
-    spread = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("sig")
-    # Of an id with several texts nothing is known, and nothing is excluded.
-    one = F.min("digest") == F.max("digest")
-    info = sets.where("sig is not null").groupBy("doc_id").agg(*[F.when(one, F.first(c)).alias(c) for c in ("n", "sketch")])
-    open_ = placed.join(spread, "sig").join(info.select(F.col("doc_id").alias("node"), "n", "sketch"), "node")
-    open_ = staged(open_, "pe-open")
-    a = open_.select("sig", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("n_a"), F.col("sketch").alias("sk_a"))
-    b = open_.select("sig", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("n_b"), F.col("sketch").alias("sk_b"))
-    near = f"n_a * {den} >= n_b * {num} and n_b * {den} >= n_a * {num}"
-    rest = a.join(b, "sig").where(f"a < b and ra <> rb and coalesce({near}, true)").where(f"not coalesce({_apart(plan)}, false)").select("a", "b").distinct()
-    rest = staged(rest.join(best, ["a", "b"], "left_anti"), "pe-rest")
-    if not rest.isEmpty():
-        more = verified(docs, rest, plan, n)
-        links = staged(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), "pe-links")
-        roots = components(links)
-    out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    parts = partitions(read)
+    signed = staged(meet(read.mapInPandas(_signed(plan, n, parts), f"{PACKED_SCHEMA}, {PAYLOAD}"), parts, PAYLOAD), "pe-signed")
+    sets = signed.where("sig is null").select("doc_id", "n", "digest")
+    same = sets.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("a"), F.count("*").alias("copies")).where("copies > 1")
+    equal = sets.select("doc_id", "digest").join(same, "digest").where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
+
+    def contents(wanted: DataFrame) -> DataFrame:
+        """The shingle sets of the documents that share a signature."""
+        wanted = staged(wanted.withColumn("key", F.xxhash64("node")), "pe-wanted")
+        some = read.withColumnRenamed("doc_id", "node").where(Sieve(wanted, "key").may(F.xxhash64("node")))
+        return some.mapInPandas(_sets(n), "node long, x binary").join(wanted.select("node"), "node", "left_semi")
+
+    roots = linked_up(signed.where("sig is not null").select("sig", "a", "b"), contents, sets_of, num, den, known=equal)
+    out = sets.select("doc_id", F.col("n").alias("n_shingles"))
+    # Ids that are null meet nothing and stay out of the shuffle.
+    placed = out.where("doc_id is not null").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = placed.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    return placed.unionByName(out.where("doc_id is null").withColumn("component_id", F.lit(None).cast("long")))

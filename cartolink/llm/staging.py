@@ -6,29 +6,47 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections import defaultdict
+from collections.abc import Hashable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: str | None = None
-#: Tables written here that are not to outlast the work they are for.
-_passing: list[str] = []
-#: Rows of ids that are sent to all tasks at most.
-SENT_ROWS = 1_000_000
+#: Paths of tables that are not to outlast the work they are for, by that work.
+_passing: dict[Hashable, list[str]] = defaultdict(list)
+_work: ContextVar[Hashable] = ContextVar("work", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where it is unset, as in tests."""
+    """``spark.checkpoint.dir``.  Unset, a temporary folder, in local mode only, as in tests."""
     global _own
     base = spark.conf.get("spark.checkpoint.dir", "")
     if base:
         return base
+    master = spark.sparkContext.master
+    if master.startswith("local-cluster") or not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _own is None:
         _own = tempfile.mkdtemp(prefix="cartolink-")
         atexit.register(shutil.rmtree, _own, ignore_errors=True)
     return _own
 
 
+@contextmanager
+def work(key: Hashable) -> Iterator[None]:
+    """What is staged inside belongs to ``key``, until ``release(spark, key)``."""
+    token = _work.set(key)
+    try:
+        yield
+    finally:
+        _work.reset(token)
+
+
 def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
@@ -36,24 +54,58 @@ def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     reader takes only what it needs.  A lost executor costs no recomputation.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    if not keep:
-        _passing.append(path)
+    if not keep and _work.get() is not None:
+        _passing[_work.get()].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables staged so far.  Only once all that reads them has been written."""
-    while _passing:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_passing.pop())
+def release(spark: SparkSession, key: Hashable) -> None:
+    """Delete the tables staged for ``key``, and no others.  Only once all that reads them has been written."""
+    for name in _passing.pop(key, ()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def sent(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` marked to be sent to all tasks if it has few ``rows``; else it joins by a shuffle."""
-    return F.broadcast(df) if rows <= SENT_ROWS else df
+class Sieve:
+    """Bits that keys set: a key whose bits aren't all set is in the table for certain not.
+
+    Keys are 64-bit hashes.  The bits take 8 MB whatever the number of keys; the more keys, the
+    more others pass, so what passes has to meet the table in a join, and the join alone decides.
+    """
+
+    BITS = 1 << 26
+
+    def __init__(self, table: DataFrame, key: str):
+        self.spark, self.table = table.sparkSession, None
+        at = F.explode(F.array(*self._places(F.col(key)))).alias("at")
+        word = F.shiftright("at", 6).alias("word")
+        got = table.select(at).groupBy(word).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()
+        self.words = np.zeros(self.BITS // 64, np.int64)
+        self.words[got["word"].to_numpy()] = got["bits"].to_numpy()
+
+    def _places(self, key: Column) -> list[Column]:
+        return [key.bitwiseAND(self.BITS - 1), F.shiftrightunsigned(key, 32).bitwiseAND(self.BITS - 1)]
+
+    def may(self, key: Column) -> Column:
+        """False only for keys that are not in the table."""
+        if self.table is None:
+            one = pa.table({"words": pa.ListArray.from_arrays([0, len(self.words)], pa.array(self.words))})
+            self.table = staged(self.spark.createDataFrame(one), "sieve")
+        words = self.table.scalar()
+        found = [F.call_function("getbit", F.get(words, F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int")) == 1 for at in self._places(key)]
+        return found[0] & found[1]
+
+
+def may_hold(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """``Sieve.may`` for an array of keys."""
+    keys = keys.view(np.uint64)
+    bit = lambda at: (words.view(np.uint64)[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
+    last = np.uint64(Sieve.BITS - 1)
+    return (bit(keys & last) & bit((keys >> np.uint64(32)) & last)).astype(bool)
 
 
-def text_parts(spark: SparkSession) -> int:
-    """Partitions for a shuffle that the cluster's settings ask for."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` is not in ``gone``.  Only rows that the sieve can't clear are shuffled."""
+    may = Sieve(gone, key).may(F.col(key))
+    return rows.where(~may).unionByName(rows.where(may).join(gone, key, "left_anti"))

@@ -8,7 +8,8 @@ import pytest
 
 from cartolink.llm import brown, decontaminate, fingerprint, fuzzy_lines, html_text, pii, quality, secrets
 from cartolink.llm.automaton import compile_rules
-from cartolink.llm.partenum import Plan, sketch
+from cartolink.llm.meeting import group_links, sketches
+from cartolink.llm.partenum import Plan
 from cartolink.llm.shingles import shingle_set
 from cartolink.llm.tagger import Reader, Tagger
 
@@ -206,9 +207,40 @@ def test_partenum_shares_a_signature():
         assert plan.linked(a, b) == bool(linked)
         if linked and not np.array_equal(a, b):
             assert len(np.intersect1d(plan.signatures(a), plan.signatures(b)))
-        x, y = (np.array(sketch(s), np.int64).view(np.uint8) for s in (a, b))
-        if len(x) == len(y):
-            assert np.unpackbits(x ^ y).sum() <= len(a) + len(b) - 2 * inter
+        if len(a) and len(b):
+            x, y = sketches([a, b])
+            assert np.bitwise_count(x ^ y).sum() <= len(a) + len(b) - 2 * inter
+
+
+@pytest.mark.parametrize("cross", [False, True])
+def test_group_links_connect_all_that_link(cross):
+    rng = np.random.default_rng(7)
+    for trial in range(60):
+        base = np.unique(rng.integers(0, 2**63, int(rng.integers(5, 200))).astype(np.uint64))
+        sets = [np.unique(np.append(base[rng.random(len(base)) > rng.random() * 0.25], rng.integers(0, 2**63, 1).astype(np.uint64))) for _ in range(int(rng.integers(2, 40)))]
+        label = rng.integers(0, len(sets), len(sets)).astype(np.int64)
+        side = rng.integers(0, 2, len(sets)) if cross else None
+        want, got = {int(x): int(x) for x in label}, {int(x): int(x) for x in label}
+
+        def find(up, x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        def join(up, i, j):
+            a, b = sorted((find(up, int(label[i])), find(up, int(label[j]))))
+            up[b] = a
+
+        linked = lambda i, j: 100 * (both := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - both)
+        for i in range(len(sets)):
+            for j in range(i):
+                if (side is None or side[i] != side[j]) and linked(i, j):
+                    join(want, i, j)
+        pairs = group_links(sets, label, 80, 100, int(rng.integers(0, len(sets))), side)
+        assert len(pairs) < len(sets) and all(linked(i, j) for i, j in pairs)
+        for i, j in pairs:
+            join(got, i, j)
+        assert [find(got, int(x)) for x in label] == [find(want, int(x)) for x in label]
 
 
 def test_shingle_sets():
