@@ -33,6 +33,8 @@ from .staging import Sieve, may_hold, staged
 
 SHINGLE, BANDS, ROWS = 6, 16, 7
 NUM, DEN = 80, 100
+#: Bits of the sieve for lines.
+SIEVE = 1 << 25
 PRIME = np.uint64(0x100000001B3)
 SMALL_PRIME = np.uint32(0x01000193)
 
@@ -187,7 +189,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     The sieve leaves out most other lines before the shuffle.
     """
     wanted = staged(wanted, "fl-wanted")
-    shared = docs.sparkSession.sparkContext.broadcast(Sieve(wanted, "node").words)
+    shared = docs.sparkSession.sparkContext.broadcast(Sieve(wanted, "node", SIEVE).words)
     found = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(_texts(shared), "node long, x string")
     return found.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("x").alias("x"))
 

@@ -68,41 +68,33 @@ def release(spark: SparkSession, key: Hashable) -> None:
 
 
 class Sieve:
-    """Bits that keys set: a key whose bits aren't all set is in the table for certain not.
+    """Bits that keys set: a key whose bit isn't set is for certain not in the table.
 
-    Keys are 64-bit hashes.  The bits take 8 MB whatever the number of keys; the more keys, the
-    more others pass, so what passes has to meet the table in a join, and the join alone decides.
+    Keys are 64-bit hashes.  The bits take 2 MB (``bits``: 2**24) whatever the number of keys; the
+    more keys, the more others pass, so what passes has to meet the table in a join, which alone decides.
     """
 
-    BITS = 1 << 26
-
-    def __init__(self, table: DataFrame, key: str):
-        self.spark, self.table = table.sparkSession, None
-        at = F.explode(F.array(*self._places(F.col(key)))).alias("at")
-        word = F.shiftright("at", 6).alias("word")
-        got = table.select(at).groupBy(word).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()
-        self.words = np.zeros(self.BITS // 64, np.int64)
+    def __init__(self, table: DataFrame, key: str, bits: int = 1 << 24):
+        self.spark, self.bits, self.table = table.sparkSession, bits, None
+        at = F.col(key).bitwiseAND(bits - 1).alias("at")
+        got = table.select(at).groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()
+        self.words = np.zeros(bits // 64, np.int64)
         self.words[got["word"].to_numpy()] = got["bits"].to_numpy()
 
-    def _places(self, key: Column) -> list[Column]:
-        return [key.bitwiseAND(self.BITS - 1), F.shiftrightunsigned(key, 32).bitwiseAND(self.BITS - 1)]
-
     def may(self, key: Column) -> Column:
         """False only for keys that are not in the table."""
         if self.table is None:
             one = pa.table({"words": pa.ListArray.from_arrays([0, len(self.words)], pa.array(self.words))})
             self.table = staged(self.spark.createDataFrame(one), "sieve")
-        words = self.table.scalar()
-        found = [F.call_function("getbit", F.get(words, F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int")) == 1 for at in self._places(key)]
-        return found[0] & found[1]
+        at = key.bitwiseAND(self.bits - 1)
+        word = F.get(self.table.scalar(), F.shiftright(at, 6).cast("int"))
+        return F.call_function("getbit", word, at.bitwiseAND(63).cast("int")) == 1
 
 
 def may_hold(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """``Sieve.may`` for an array of keys."""
-    keys = keys.view(np.uint64)
-    bit = lambda at: (words.view(np.uint64)[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
-    last = np.uint64(Sieve.BITS - 1)
-    return (bit(keys & last) & bit((keys >> np.uint64(32)) & last)).astype(bool)
+    at = keys.view(np.uint64) & np.uint64(64 * len(words) - 1)
+    return ((words.view(np.uint64)[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
 def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
