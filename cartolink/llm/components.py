@@ -32,7 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
     found = None
     while not edges.isEmpty():
         least = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("b"))
-        parent = _jump(least.select(F.col("a").alias("node"), F.least("a", "b").alias("root")))
+        # Written first: a join of tables as read is one that can be split where many nodes name one root.
+        parent = _jump(staged(least.select(F.col("a").alias("node"), F.least("a", "b").alias("root")), "cc-least"))
         if found is None:
             found = parent
         else:
