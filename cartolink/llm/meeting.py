@@ -7,11 +7,11 @@ of bytes.  Where a label's blocks meet, a sort finds the keys that several ids s
 Links come in two steps.  First every id meets the bucket leader (a bucket's least
 id) that most of its buckets name, so families of near copies fall together.  Then
 each bucket that still holds several components is compared within: in blocks of at
-most ``BLOCK`` members, each pair of blocks once.  Inside a block pair one member
-after another, the one with the most open partners first, is compared with all that
-are not yet connected to it; a pair is passed over only if a lower bound on its
-difference (``sketches``: the parity of hash counts, by which a difference can only
-shrink) excludes a link.  So no candidate is dropped, and what comes out is at most
+most ``BLOCK`` members, each pair of blocks once.  A pair is passed over only if a
+lower bound on its difference (``sketches``: the parity of hash counts, by which a
+difference can only shrink) excludes a link; sketches go first, and whole sets follow
+for members with a partner left.  Inside a block pair one member after another, the one
+with the most open partners first, is compared with all that are not yet connected to it.  So no candidate is dropped, and what comes out is at most
 one row for each member, never a list of all pairs.
 """
 
@@ -124,11 +124,14 @@ def meet(rows: DataFrame, parts: int, payload: str) -> DataFrame:
 # -- links among the members of a group ------------------------------------------
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
+def width_of(size: int) -> int:
+    """Bits of the sketch of a set of this size."""
+    return max(512, 1 << (size - 1).bit_length())
+
+
+def sketches(sets: list[np.ndarray], width: int = 0) -> np.ndarray:
     """(sets, words): parity of how many hashes of a set fall on each bit."""
-    width = 512
-    while width < max(map(len, sets)):
-        width *= 2
+    width = width or width_of(max(map(len, sets)))
     out = np.empty((len(sets), width // 64), np.uint64)
     step = max(1, (1 << 22) // width)
     for first in range(0, len(sets), step):
@@ -140,6 +143,25 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def may_link(size: np.ndarray, sk: np.ndarray, num: int, den: int) -> np.ndarray:
+    """(sets, sets): False where sizes or sketches exclude a link."""
+    mask, differ = fits(size[:, None], size, num, den), np.zeros((len(size), len(size)), np.int64)
+    for w in range(sk.shape[1]):
+        differ += np.bitwise_count(sk[:, w, None] ^ sk[:, w])
+    return mask & (differ * (den + num) <= (size[:, None] + size) * (den - num))
+
+
+def fits(s: np.ndarray, t: np.ndarray, num: int, den: int) -> np.ndarray:
+    return den * np.minimum(s, t) >= num * np.maximum(s, t)
+
+
+def folded(sk: list[bytes]) -> np.ndarray:
+    """(sets, words): sketches of several widths as wide as the narrowest; halves join by exclusive or."""
+    rows = [np.frombuffer(x, np.uint64) for x in sk]
+    least = min(map(len, rows))
+    return np.stack([np.bitwise_xor.reduce(r.reshape(-1, least), 0) for r in rows])
+
+
 def group_links(sets: list[np.ndarray], label: np.ndarray, num: int, den: int, lead: int = 0, side: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Pairs (i, j) of linked sets that connect whatever links connect among different labels.
 
@@ -164,21 +186,18 @@ def group_links(sets: list[np.ndarray], label: np.ndarray, num: int, den: int, l
         return done
 
     label = label.copy()
-    open_ = (label != label[lead]) & (den * np.minimum(size, size[lead]) >= num * np.maximum(size, size[lead]))
+    open_ = (label != label[lead]) & fits(size, size[lead], num, den)
     if side is not None:
         open_ &= side != side[lead]
     join(lead, np.flatnonzero(open_))
     if (label == label[0]).all():
         return out
-    mask = (label[:, None] != label) & (den * np.minimum(size[:, None], size) >= num * np.maximum(size[:, None], size))
+    mask = label[:, None] != label
     if side is not None:
         mask &= side[:, None] != side
     mask[lead] = mask[:, lead] = False
-    if mask.any() and len(sets) > 3:
-        sk, differ = sketches(sets), np.zeros(mask.shape, np.int64)
-        for w in range(sk.shape[1]):
-            differ += np.bitwise_count(sk[:, w, None] ^ sk[:, w])
-        mask &= differ * (den + num) <= (size[:, None] + size) * (den - num)
+    if mask.any():
+        mask &= may_link(size, sketches(sets), num, den)
     while mask.any():
         k = int(mask.sum(1).argmax())
         changed = join(k, np.flatnonzero(mask[k]))
@@ -210,24 +229,64 @@ def whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held)
 
 
+def groups_of(part: pd.DataFrame) -> Iterator[tuple[int, int, bool]]:
+    """(first row, last row + 1, whether pairs of different sides only count) of each group of several rows."""
+    keys = part[GROUP].to_numpy()
+    cuts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1))).tolist()
+    for s, e in zip(cuts, [*cuts[1:], len(part)], strict=True):
+        if e - s > 1:
+            yield s, e, bool(keys[s, 1] != keys[s, 2])
+
+
+def gathered(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+
 def compared(rows: DataFrame, content: DataFrame, sets_of: Callable, num: int, den: int) -> DataFrame:
     """(g, i, j, node, root, lead, side) -> links (a, b) of nodes, within each group (g, i, j)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in whole_groups(batches):
-            keys, found = part[GROUP].to_numpy(), []
-            cuts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+            found = []
             nodes, roots, lead, side = (part[c].to_numpy() for c in ("node", "root", "lead", "side"))
             sets = sets_of(part["x"].tolist())
-            for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)], strict=True):
-                if e - s > 1:
-                    cross = side[s:e] if keys[s, 1] != keys[s, 2] else None
-                    for i, j in group_links(sets[s:e], roots[s:e], num, den, int(lead[s:e].argmax()), cross):
-                        found.append((nodes[s + i], nodes[s + j]))
+            for s, e, cross in groups_of(part):
+                for i, j in group_links(sets[s:e], roots[s:e], num, den, int(lead[s:e].argmax()), side[s:e] if cross else None):
+                    found.append((nodes[s + i], nodes[s + j]))
             yield pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
 
     both = rows.join(content, "node").select(*GROUP, "node", "root", "lead", "side", "x")
-    return both.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInPandas(run, "a long, b long")
+    return gathered(both).mapInPandas(run, "a long, b long")
+
+
+def alive(rows: DataFrame, content: DataFrame, sets_of: Callable, num: int, den: int) -> DataFrame:
+    """The ``rows`` (g, i, j, node, root, lead, side) that could link with one of another root in their group.
+
+    Only sketches travel here, so sets are sent for these rows alone.
+    """
+
+    def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = sets_of(batch["x"].tolist())
+            drawn = [sketches([x], width_of(len(x))).tobytes() for x in sets]
+            yield pd.DataFrame({"node": batch["node"], "n": [len(x) for x in sets], "sk": drawn})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in whole_groups(batches):
+            keep = np.zeros(len(part), bool)
+            sizes, roots, side, sk = (part[c].to_numpy() for c in ("n", "root", "side", "sk"))
+            for s, e, cross in groups_of(part):
+                mask = may_link(sizes[s:e], folded(sk[s:e].tolist()), num, den) & (roots[s:e, None] != roots[s:e])
+                if cross:
+                    mask &= side[s:e, None] != side[s:e]
+                keep[s:e] = mask.any(1)
+            yield part.loc[keep, names]
+
+    names = [*GROUP, "node", "root", "lead", "side"]
+    wanted = rows.select("node").distinct()
+    info = content.join(wanted, "node", "left_semi").mapInPandas(drawn, "node long, n long, sk binary")
+    both = rows.join(info, "node").select(*names, "n", "sk")
+    return gathered(both).mapInPandas(run, "g long, i int, j int, node long, root long, lead boolean, side int").distinct()
 
 
 def linked_up(buckets: DataFrame, contents: Callable[[DataFrame], DataFrame], sets_of: Callable, num: int, den: int, known: DataFrame | None = None) -> DataFrame:
@@ -257,7 +316,7 @@ def linked_up(buckets: DataFrame, contents: Callable[[DataFrame], DataFrame], se
     apart = placed.join(open_, "sig").withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
     apart = apart.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     apart = apart.select(F.col("sig").alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", F.lit(False).alias("lead"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    apart = staged(apart, "mt-apart")
+    apart = staged(alive(staged(apart, "mt-apart"), content, sets_of, num, den), "mt-alive")
     more = staged(compared(apart, content, sets_of, num, den), "mt-links")
     if more.isEmpty():
         return roots
