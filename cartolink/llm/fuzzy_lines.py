@@ -33,8 +33,6 @@ from .staging import Sieve, may_hold, staged
 
 SHINGLE, BANDS, ROWS = 6, 16, 7
 NUM, DEN = 80, 100
-#: Bits of the sieve for lines.
-SIEVE = 1 << 25
 PRIME = np.uint64(0x100000001B3)
 SMALL_PRIME = np.uint32(0x01000193)
 
@@ -184,14 +182,11 @@ def _texts(words):
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, x): the texts of the lines whose ids are ``wanted``, once each.
-
-    The sieve leaves out most other lines before the shuffle.
-    """
+    """(node, x): the texts of the lines whose ids are ``wanted``, once each, and of few others."""
     wanted = staged(wanted, "fl-wanted")
-    shared = docs.sparkSession.sparkContext.broadcast(Sieve(wanted, "node", SIEVE).words)
+    shared = docs.sparkSession.sparkContext.broadcast(Sieve(wanted, "node").words)
     found = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(_texts(shared), "node long, x string")
-    return found.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("x").alias("x"))
+    return found.groupBy("node").agg(F.first("x").alias("x"))
 
 
 def repeated(docs: DataFrame) -> DataFrame:

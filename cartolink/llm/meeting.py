@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .staging import staged
+from .staging import Sieve, staged
 
 #: Keys that a task packs at once, labels for each partition, members of a block.
 PACKED, LABELS, BLOCK = 2_000_000, 8, 512
@@ -255,22 +255,27 @@ def compared(rows: DataFrame, content: DataFrame, sets_of: Callable, num: int, d
                     found.append((nodes[s + i], nodes[s + j]))
             yield pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
 
-    both = rows.join(content, "node").select(*GROUP, "node", "root", "lead", "side", "x")
+    both = rows.distinct().join(content.select("node", "x"), "node").select(*GROUP, "node", "root", "lead", "side", "x")
     return gathered(both).mapInPandas(run, "a long, b long")
 
 
-def alive(rows: DataFrame, content: DataFrame, sets_of: Callable, num: int, den: int) -> DataFrame:
+def drawn(content: DataFrame, sets_of: Callable) -> DataFrame:
+    """(node, x) -> node, x, the size of its set and its sketch."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = sets_of(batch["x"].tolist())
+            yield batch.assign(n=[len(x) for x in sets], sk=[sketches([x], width_of(len(x))).tobytes() for x in sets])
+
+    return content.mapInPandas(run, f"node long, x {content.schema['x'].dataType.simpleString()}, n long, sk binary")
+
+
+def alive(rows: DataFrame, content: DataFrame, num: int, den: int) -> DataFrame:
     """The ``rows`` (g, i, j, node, root, lead, side) that could link with one of another root in their group.
 
     Only sketches travel here, so sets are sent for these rows alone.
     """
 
-    def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = sets_of(batch["x"].tolist())
-            drawn = [sketches([x], width_of(len(x))).tobytes() for x in sets]
-            yield pd.DataFrame({"node": batch["node"], "n": [len(x) for x in sets], "sk": drawn})
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in whole_groups(batches):
             keep = np.zeros(len(part), bool)
@@ -283,21 +288,19 @@ def alive(rows: DataFrame, content: DataFrame, sets_of: Callable, num: int, den:
             yield part.loc[keep, names]
 
     names = [*GROUP, "node", "root", "lead", "side"]
-    wanted = rows.select("node").distinct()
-    info = content.join(wanted, "node", "left_semi").mapInPandas(drawn, "node long, n long, sk binary")
-    both = rows.join(info, "node").select(*names, "n", "sk")
-    return gathered(both).mapInPandas(run, "g long, i int, j int, node long, root long, lead boolean, side int").distinct()
+    both = rows.join(content.select("node", "n", "sk"), "node").select(*names, "n", "sk")
+    return gathered(both).mapInPandas(run, "g long, i int, j int, node long, root long, lead boolean, side int")
 
 
 def linked_up(buckets: DataFrame, contents: Callable[[DataFrame], DataFrame], sets_of: Callable, num: int, den: int, known: DataFrame | None = None) -> DataFrame:
     """(sig, a, b) of ``meet`` -> (node, root) for every node on a link, as ``components`` gives it.
 
-    ``contents`` gets the table (node) of ids in buckets and returns (node, x); ``sets_of`` makes of a
-    list of x the hash sets.  Rows of one node with different x all count for it.  ``known`` are links (a, b) besides.
+    ``contents`` gets the table (node) of ids in buckets and returns (node, x), of further nodes too if
+    that is cheaper; ``sets_of`` makes of a list of x the hash sets.  Rows of one node with different x all count for it.  ``known`` are links (a, b) besides.
     """
     votes = buckets.groupBy("a", "b").agg(F.count("*").alias("votes"))
     best = staged(votes.groupBy("b").agg(F.max_by("a", F.struct("votes", -F.col("a"))).alias("a")), "mt-best")
-    content = staged(contents(buckets.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "mt-content")
+    content = staged(drawn(contents(buckets.select(F.explode(F.array("a", "b")).alias("node")).distinct()), sets_of), "mt-content")
 
     # Each node beside its leader, a leader's many nodes in several blocks.
     led = best.groupBy("a").agg(F.count("*").alias("n")).select("a", F.expr(f"cast(ceil(n / {BLOCK}) as int)").alias("blocks"))
@@ -316,7 +319,9 @@ def linked_up(buckets: DataFrame, contents: Callable[[DataFrame], DataFrame], se
     apart = placed.join(open_, "sig").withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
     apart = apart.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     apart = apart.select(F.col("sig").alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", F.lit(False).alias("lead"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    apart = staged(alive(staged(apart, "mt-apart"), content, sets_of, num, den), "mt-alive")
+    apart = staged(alive(apart, content, num, den), "mt-alive")
+    some = staged(apart.select("node", F.xxhash64("node").alias("key")).distinct(), "mt-some")
+    content = content.where(Sieve(some, "key").may(F.xxhash64("node")))
     more = staged(compared(apart, content, sets_of, num, den), "mt-links")
     if more.isEmpty():
         return roots

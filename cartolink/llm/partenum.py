@@ -159,13 +159,14 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     signed = staged(meet(read.mapInPandas(_signed(plan, n, parts), f"{PACKED_SCHEMA}, {PAYLOAD}"), parts, PAYLOAD), "pe-signed")
     sets = signed.where("sig is null").select("doc_id", "n", "digest")
     same = sets.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("a"), F.count("*").alias("copies")).where("copies > 1")
+    same = staged(same, "pe-same")  # the join can then be split where many texts are equal
     equal = sets.select("doc_id", "digest").join(same, "digest").where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
 
     def contents(wanted: DataFrame) -> DataFrame:
-        """The shingle sets of the documents that share a signature."""
+        """The shingle sets of the documents that share a signature, and of few others."""
         wanted = staged(wanted.withColumn("key", F.xxhash64("node")), "pe-wanted")
         some = read.withColumnRenamed("doc_id", "node").where(Sieve(wanted, "key").may(F.xxhash64("node")))
-        return some.mapInPandas(_sets(n), "node long, x binary").join(wanted.select("node"), "node", "left_semi")
+        return some.mapInPandas(_sets(n), "node long, x binary")
 
     roots = linked_up(signed.where("sig is not null").select("sig", "a", "b"), contents, sets_of, num, den, known=equal)
     out = sets.select("doc_id", F.col("n").alias("n_shingles"))

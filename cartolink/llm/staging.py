@@ -70,11 +70,16 @@ def release(spark: SparkSession, key: Hashable) -> None:
 class Sieve:
     """Bits that keys set: a key whose bit isn't set is for certain not in the table.
 
-    Keys are 64-bit hashes.  The bits take 2 MB (``bits``: 2**24) whatever the number of keys; the
-    more keys, the more others pass, so what passes has to meet the table in a join, which alone decides.
+    Keys are 64-bit hashes.  There are 16 bits or more for each key, so of other keys 1 in 16 passes
+    at most, up to 4 million keys; the bits take no more than ``MOST``, 8 MB, whatever the number, and
+    with more keys more others pass.  What passes has to meet the table in a join, which alone decides.
     """
 
-    def __init__(self, table: DataFrame, key: str, bits: int = 1 << 24):
+    MOST = 1 << 26
+
+    def __init__(self, table: DataFrame, key: str):
+        bits = min(self.MOST, 1 << (16 * table.count()).bit_length() | 1 << 12)
+        bits = 1 << (bits.bit_length() - 1)
         self.spark, self.bits, self.table = table.sparkSession, bits, None
         at = F.col(key).bitwiseAND(bits - 1).alias("at")
         got = table.select(at).groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()
