@@ -33,6 +33,8 @@ from .staging import Sieve, may_hold, staged
 
 SHINGLE, BANDS, ROWS = 6, 16, 7
 NUM, DEN = 80, 100
+#: Ids of lines that a worker remembers, so that it gives each line once or little more.
+SEEN = 300_000
 PRIME = np.uint64(0x100000001B3)
 SMALL_PRIME = np.uint32(0x01000193)
 
@@ -140,7 +142,7 @@ def _signed(parts: int):
                     for line in lines_of(text):
                         own.append(h := line_id(line) if line else 0)
                         if line and h not in seen:
-                            if len(seen) > 1_000_000:
+                            if len(seen) > SEEN:
                                 seen.clear()
                             seen.add(h)
                             fresh[h] = line
@@ -172,7 +174,7 @@ def _texts(words):
             rows = []
             for k in np.flatnonzero(may_hold(words.value, ids)).tolist():
                 if (h := int(ids[k])) not in seen:
-                    if len(seen) > 1_000_000:
+                    if len(seen) > SEEN:
                         seen.clear()
                     seen.add(h)
                     rows.append((h, found[k]))

@@ -30,7 +30,7 @@ from .components import components
 from .staging import Sieve, staged
 
 #: Keys that a task packs at once, labels for each partition, members of a block.
-PACKED, LABELS, BLOCK = 2_000_000, 8, 512
+PACKED, LABELS, BLOCK = 1_000_000, 8, 512
 #: Characters of text whose keys a partition is to hold at most.
 PART_CHARS = 32_000_000
 PACKED_SCHEMA = "part int, keys binary, ids binary"
@@ -259,15 +259,26 @@ def compared(rows: DataFrame, content: DataFrame, sets_of: Callable, num: int, d
     return gathered(both).mapInPandas(run, "a long, b long")
 
 
-def drawn(content: DataFrame, sets_of: Callable) -> DataFrame:
-    """(node, x) -> node, x, the size of its set and its sketch."""
+#: Rows that a worker turns into sets at once.
+SLICE = 1_000
+
+
+def drawn(content: DataFrame, sets_of: Callable, packed: bool) -> DataFrame:
+    """(node, x) of texts -> node, x (the text, or packed its set), the size of its set and its sketch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = sets_of(batch["x"].tolist())
-            yield batch.assign(n=[len(x) for x in sets], sk=[sketches([x], width_of(len(x))).tobytes() for x in sets])
+            for first in range(0, len(batch), SLICE):
+                part = batch[first : first + SLICE]
+                sets = sets_of(part["x"].tolist())
+                part = part.assign(n=[len(x) for x in sets], sk=[sketches([x], width_of(len(x))).tobytes() if len(x) else b"" for x in sets])
+                yield (part.assign(x=[x.tobytes() for x in sets]) if packed else part)[part["n"] > 0]
+
+    return content.mapInPandas(run, f"node long, x {'binary' if packed else 'string'}, n long, sk binary")
+
 
-    return content.mapInPandas(run, f"node long, x {content.schema['x'].dataType.simpleString()}, n long, sk binary")
+def unpacked(x: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(one, np.uint64) for one in x]
 
 
 def alive(rows: DataFrame, content: DataFrame, num: int, den: int) -> DataFrame:
@@ -292,15 +303,18 @@ def alive(rows: DataFrame, content: DataFrame, num: int, den: int) -> DataFrame:
     return gathered(both).mapInPandas(run, "g long, i int, j int, node long, root long, lead boolean, side int")
 
 
-def linked_up(buckets: DataFrame, contents: Callable[[DataFrame], DataFrame], sets_of: Callable, num: int, den: int, known: DataFrame | None = None) -> DataFrame:
+def linked_up(buckets: DataFrame, contents: Callable[[DataFrame], DataFrame], sets_of: Callable, num: int, den: int, known: DataFrame | None = None, packed: bool = False) -> DataFrame:
     """(sig, a, b) of ``meet`` -> (node, root) for every node on a link, as ``components`` gives it.
 
-    ``contents`` gets the table (node) of ids in buckets and returns (node, x), of further nodes too if
-    that is cheaper; ``sets_of`` makes of a list of x the hash sets.  Rows of one node with different x all count for it.  ``known`` are links (a, b) besides.
+    ``contents`` gets the table (node) of ids in buckets and returns (node, x), a text each, of further
+    nodes too if that is cheaper; ``sets_of`` makes of a list of texts the hash sets.  ``packed``: sets
+    are costly to make, so they are kept.  Rows of one node with different x all count for it.
+    ``known`` are links (a, b) besides.
     """
     votes = buckets.groupBy("a", "b").agg(F.count("*").alias("votes"))
     best = staged(votes.groupBy("b").agg(F.max_by("a", F.struct("votes", -F.col("a"))).alias("a")), "mt-best")
-    content = staged(drawn(contents(buckets.select(F.explode(F.array("a", "b")).alias("node")).distinct()), sets_of), "mt-content")
+    content = staged(drawn(contents(buckets.select(F.explode(F.array("a", "b")).alias("node")).distinct()), sets_of, packed), "mt-content")
+    sets_of = unpacked if packed else sets_of
 
     # Each node beside its leader, a leader's many nodes in several blocks.
     led = best.groupBy("a").agg(F.count("*").alias("n")).select("a", F.expr(f"cast(ceil(n / {BLOCK}) as int)").alias("blocks"))

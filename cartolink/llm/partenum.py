@@ -138,19 +138,6 @@ def _signed(plan: Plan, n: int, parts: int):
     return run
 
 
-def _sets(n: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingle_set(text, n).tobytes() for text in batch["text"]]
-            yield pd.DataFrame({"node": batch["node"], "x": sets}).loc[[len(x) > 0 for x in sets]]
-
-    return run
-
-
-def sets_of(packed: list[bytes]) -> list[np.ndarray]:
-    return [np.frombuffer(x, np.uint64) for x in packed]
-
-
 def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id for every row of ``docs``."""
     plan = Plan(num, den)
@@ -163,12 +150,12 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     equal = sets.select("doc_id", "digest").join(same, "digest").where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
 
     def contents(wanted: DataFrame) -> DataFrame:
-        """The shingle sets of the documents that share a signature, and of few others."""
-        wanted = staged(wanted.withColumn("key", F.xxhash64("node")), "pe-wanted")
-        some = read.withColumnRenamed("doc_id", "node").where(Sieve(wanted, "key").may(F.xxhash64("node")))
-        return some.mapInPandas(_sets(n), "node long, x binary")
+        """The texts that share a signature, and few others."""
+        wanted = staged(wanted.select(F.xxhash64("node").alias("key")), "pe-wanted")
+        return read.select(F.col("doc_id").alias("node"), F.col("text").alias("x")).where(Sieve(wanted, "key").may(F.xxhash64("node")))
 
-    roots = linked_up(signed.where("sig is not null").select("sig", "a", "b"), contents, sets_of, num, den, known=equal)
+    sets_of = lambda texts: [shingle_set(x, n) for x in texts]
+    roots = linked_up(signed.where("sig is not null").select("sig", "a", "b"), contents, sets_of, num, den, known=equal, packed=True)
     out = sets.select("doc_id", F.col("n").alias("n_shingles"))
     # Ids that are null meet nothing and stay out of the shuffle.
     placed = out.where("doc_id is not null").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-KEPT = 500_000
+#: Words whose hashes a worker keeps.
+KEPT = 150_000
 
 
 class _Hashes(dict):
