@@ -199,11 +199,11 @@ def repeated(docs: DataFrame) -> DataFrame:
     read = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = partitions(read)
     signed = staged(meet(read.mapInPandas(_signed(parts), f"{PACKED_SCHEMA}, {PAYLOAD}"), parts, PAYLOAD), "fl-signed")
-    roots = linked_up(signed.where("sig is not null").select("sig", "a", "b"), lambda wanted: line_texts(docs, wanted), shingle_sets, NUM, DEN)
+    roots = linked_up(signed.where("bucket is not null").select("bucket", "a", "b"), lambda wanted: line_texts(docs, wanted), shingle_sets, NUM, DEN)
 
     # Where each line occurs, and the first place of its component.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at")
-    occurs = signed.where("sig is null").select("row", "doc_id", F.posexplode("lines").alias("at", "line")).where("line <> 0")
+    occurs = signed.where("bucket is null").select("row", "doc_id", F.posexplode("lines").alias("at", "line")).where("line <> 0")
     first = occurs.groupBy("line").agg(F.min(place).alias("place"), F.max(place).alias("last"))
     first = first.join(roots.withColumnRenamed("node", "line"), "line", "left")
     first = staged(first.where("root is not null or place <> last").select("line", "root", "place"), "fl-first")

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .shingles import mixed
 from .staging import Sieve, staged
 
 #: Keys that a task packs at once, labels for each partition, members of a block.
@@ -71,7 +72,7 @@ def padded(blocks: pd.DataFrame, columns: list[str]) -> pd.DataFrame:
     return blocks.assign(**{c: None for c in columns if c not in blocks})[columns]
 
 
-def _shared(label: int, keys: list[bytes], ids: list[bytes]) -> dict[str, np.ndarray]:
+def _shared(keys: list[bytes], ids: list[bytes]) -> dict[str, np.ndarray]:
     k, i = np.frombuffer(b"".join(keys), np.uint32), np.frombuffer(b"".join(ids), np.int64)
     order = np.argsort(k)
     k, i = k[order], i[order]
@@ -80,17 +81,24 @@ def _shared(label: int, keys: list[bytes], ids: list[bytes]) -> dict[str, np.nda
     k, i = k[several], i[several]
     order = np.lexsort((i, k))
     k, i = k[order], i[order]
-    first = np.append(True, k[1:] != k[:-1])[: len(k)]
-    leader = i[first][np.cumsum(first) - 1] if len(k) else i
-    new = ~first & np.append(True, i[1:] != i[:-1])[: len(k)] & (leader != i)
-    return {"sig": (np.int64(label) << np.int64(32)) | k[new].astype(np.int64), "a": leader[new], "b": i[new]}
+    new = np.append(True, (k[1:] != k[:-1]) | (i[1:] != i[:-1]))[: len(k)]
+    k, i = k[new], i[new]
+    starts = np.flatnonzero(np.append(True, k[1:] != k[:-1])[: len(k)])
+    sizes = np.diff(np.append(starts, len(k)))
+    if len(k):
+        prints = mixed(np.bitwise_xor.reduceat(mixed(i.view(np.uint64)), starts) + sizes.astype(np.uint64)).view(np.int64)
+    else:
+        prints = np.zeros(0, np.int64)
+    many = np.repeat(sizes > 1, sizes)
+    return {"bucket": np.repeat(prints, sizes)[many], "a": np.repeat(i[starts], sizes)[many], "b": i[many]}
 
 
 def meet(rows: DataFrame, parts: int, payload: str) -> DataFrame:
-    """Packed blocks -> sig, a, b: for a key that several ids show its least id and each other one.
+    """Packed blocks -> bucket, a, b: for a key that several ids show each of them as b, the least as a.
 
-    ``payload`` lists further columns ("name type, ...").  Rows whose ``keys`` are null carry
-    them and come out as they are, with null sig.
+    ``bucket`` is a hash of the ids: keys that the same ids show are one bucket.  ``payload``
+    lists further columns ("name type, ...").  Rows whose ``keys`` are null carry them and
+    come out as they are, with null bucket.
     """
     names = [c.split()[0] for c in payload.split(", ")]
 
@@ -98,15 +106,15 @@ def meet(rows: DataFrame, parts: int, payload: str) -> DataFrame:
         at, keys, ids, schema = None, [], [], None
 
         def found() -> pa.RecordBatch:
-            got = _shared(at, keys, ids)
-            none = [pa.nulls(len(got["sig"]), f.type) for f in schema]
+            got = _shared(keys, ids)
+            none = [pa.nulls(len(got["b"]), f.type) for f in schema]
             return pa.record_batch([*none, *map(pa.array, got.values())], [*names, *got])
 
         for batch in batches:
             schema = [batch.schema.field(c) for c in names]
             carried = batch.filter(pc.is_null(batch["keys"]))
             none = pa.nulls(len(carried), pa.int64())
-            yield pa.record_batch([*(carried[c] for c in names), none, none, none], [*names, "sig", "a", "b"])
+            yield pa.record_batch([*(carried[c] for c in names), none, none, none], [*names, "bucket", "a", "b"])
             blocks = batch.filter(pc.is_valid(batch["keys"]))
             for label, k, i in zip(blocks["part"].to_pylist(), blocks["keys"].to_pylist(), blocks["ids"].to_pylist(), strict=True):
                 if label != at and keys:
@@ -118,7 +126,7 @@ def meet(rows: DataFrame, parts: int, payload: str) -> DataFrame:
         if keys:
             yield found()
 
-    return rows.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, f"{payload}, sig long, a long, b long")
+    return rows.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, f"{payload}, bucket long, a long, b long")
 
 
 # -- links among the members of a group ------------------------------------------
@@ -255,7 +263,8 @@ def compared(rows: DataFrame, content: DataFrame, sets_of: Callable, num: int, d
                     found.append((nodes[s + i], nodes[s + j]))
             yield pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
 
-    both = rows.distinct().join(content.select("node", "x"), "node").select(*GROUP, "node", "root", "lead", "side", "x")
+    # Merged at any size: broadcasting rows where they are few would be another plan at small sizes.
+    both = rows.distinct().hint("merge").join(content.select("node", "x"), "node").select(*GROUP, "node", "root", "lead", "side", "x")
     return gathered(both).mapInPandas(run, "a long, b long")
 
 
@@ -304,16 +313,17 @@ def alive(rows: DataFrame, content: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def linked_up(buckets: DataFrame, contents: Callable[[DataFrame], DataFrame], sets_of: Callable, num: int, den: int, known: DataFrame | None = None, packed: bool = False) -> DataFrame:
-    """(sig, a, b) of ``meet`` -> (node, root) for every node on a link, as ``components`` gives it.
+    """(bucket, a, b) of ``meet`` -> (node, root) for every node on a link, as ``components`` gives it.
 
     ``contents`` gets the table (node) of ids in buckets and returns (node, x), a text each, of further
     nodes too if that is cheaper; ``sets_of`` makes of a list of texts the hash sets.  ``packed``: sets
     are costly to make, so they are kept.  Rows of one node with different x all count for it.
     ``known`` are links (a, b) besides.
     """
-    votes = buckets.groupBy("a", "b").agg(F.count("*").alias("votes"))
+    buckets = staged(buckets.groupBy("bucket", "a", "b").agg(F.count("*").alias("votes")), "mt-buckets")
+    votes = buckets.where("a <> b").groupBy("a", "b").agg(F.sum("votes").alias("votes"))
     best = staged(votes.groupBy("b").agg(F.max_by("a", F.struct("votes", -F.col("a"))).alias("a")), "mt-best")
-    content = staged(drawn(contents(buckets.select(F.explode(F.array("a", "b")).alias("node")).distinct()), sets_of, packed), "mt-content")
+    content = staged(drawn(contents(buckets.select(F.col("b").alias("node")).distinct()), sets_of, packed), "mt-content")
     sets_of = unpacked if packed else sets_of
 
     # Each node beside its leader, a leader's many nodes in several blocks.
@@ -324,15 +334,14 @@ def linked_up(buckets: DataFrame, contents: Callable[[DataFrame], DataFrame], se
     links = compared(own.unionByName(heads).select("g", "i", *same), content, sets_of, num, den)
     roots = components(staged(links.unionByName(known) if known is not None else links, "mt-links"))
 
-    # Buckets whose members are still apart; of buckets with the same members one.
-    members = buckets.select("sig", F.col("b").alias("node")).unionByName(buckets.select("sig", F.col("a").alias("node")).distinct())
-    placed = staged(members.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root")), "mt-placed")
-    open_ = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("members"))
-    open_ = open_.where("low <> high").groupBy("members", "n", "low", "high").agg(F.min("sig").alias("sig"))
-    open_ = open_.select("sig", F.expr(f"cast(ceil(n / {BLOCK}) as int)").alias("blocks"))
-    apart = placed.join(open_, "sig").withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
+    # Buckets whose members are still apart.
+    placed = buckets.select("bucket", F.col("b").alias("node")).join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    placed = staged(placed, "mt-placed")
+    open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
+    open_ = open_.select("bucket", F.expr(f"cast(ceil(n / {BLOCK}) as int)").alias("blocks"))
+    apart = placed.join(open_, "bucket").withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
     apart = apart.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    apart = apart.select(F.col("sig").alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", F.lit(False).alias("lead"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    apart = apart.select(F.col("bucket").alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", F.lit(False).alias("lead"), (F.col("own") > F.col("other")).cast("int").alias("side"))
     apart = staged(alive(apart, content, num, den), "mt-alive")
     some = staged(apart.select("node", F.xxhash64("node").alias("key")).distinct(), "mt-some")
     content = content.where(Sieve(some, "key").may(F.xxhash64("node")))

@@ -144,7 +144,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     read = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
     parts = partitions(read)
     signed = staged(meet(read.mapInPandas(_signed(plan, n, parts), f"{PACKED_SCHEMA}, {PAYLOAD}"), parts, PAYLOAD), "pe-signed")
-    sets = signed.where("sig is null").select("doc_id", "n", "digest")
+    sets = signed.where("bucket is null").select("doc_id", "n", "digest")
     same = sets.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("a"), F.count("*").alias("copies")).where("copies > 1")
     same = staged(same, "pe-same")  # the join can then be split where many texts are equal
     equal = sets.select("doc_id", "digest").join(same, "digest").where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
@@ -155,7 +155,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
         return read.select(F.col("doc_id").alias("node"), F.col("text").alias("x")).where(Sieve(wanted, "key").may(F.xxhash64("node")))
 
     sets_of = lambda texts: [shingle_set(x, n) for x in texts]
-    roots = linked_up(signed.where("sig is not null").select("sig", "a", "b"), contents, sets_of, num, den, known=equal, packed=True)
+    roots = linked_up(signed.where("bucket is not null").select("bucket", "a", "b"), contents, sets_of, num, den, known=equal, packed=True)
     out = sets.select("doc_id", F.col("n").alias("n_shingles"))
     # Ids that are null meet nothing and stay out of the shuffle.
     placed = out.where("doc_id is not null").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
