@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .meeting import PACKED_SCHEMA, Packer, linked_up, meet, padded, partitions
-from .shingles import mixed
+from .shingles import mixed, tidied
 from .staging import Sieve, may_hold, staged
 
 SHINGLE, BANDS, ROWS = 6, 16, 7
@@ -130,6 +130,7 @@ def bands(lines: list[str]) -> np.ndarray:
 def _signed(parts: int):
     """For each document its lines' ids (0: blank); packed, the bands of lines new to the task."""
 
+    @tidied
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         packer, turn = Packer(parts), 0
@@ -166,6 +167,7 @@ COLUMNS = ["part", "keys", "ids", "row", "doc_id", "lines"]
 
 
 def _texts(words):
+    @tidied
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for batch in batches:

@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shingles import mixed
+from .shingles import mixed, tidied
 from .staging import Sieve, staged
 
 #: Keys that a task packs at once, labels for each partition, members of a block.
-PACKED, LABELS, BLOCK = 1_000_000, 8, 512
+PACKED, LABELS, BLOCK = 500_000, 8, 512
 #: Characters of text whose keys a partition is to hold at most.
 PART_CHARS = 32_000_000
 PACKED_SCHEMA = "part int, keys binary, ids binary"
@@ -102,6 +102,7 @@ def meet(rows: DataFrame, parts: int, payload: str) -> DataFrame:
     """
     names = [c.split()[0] for c in payload.split(", ")]
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, keys, ids, schema = None, [], [], None
 
@@ -253,6 +254,7 @@ def gathered(rows: DataFrame) -> DataFrame:
 def compared(rows: DataFrame, content: DataFrame, sets_of: Callable, num: int, den: int) -> DataFrame:
     """(g, i, j, node, root, lead, side) -> links (a, b) of nodes, within each group (g, i, j)."""
 
+    @tidied
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in whole_groups(batches):
             found = []
@@ -275,6 +277,7 @@ SLICE = 1_000
 def drawn(content: DataFrame, sets_of: Callable, packed: bool) -> DataFrame:
     """(node, x) of texts -> node, x (the text, or packed its set), the size of its set and its sketch."""
 
+    @tidied
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for first in range(0, len(batch), SLICE):
@@ -296,6 +299,7 @@ def alive(rows: DataFrame, content: DataFrame, num: int, den: int) -> DataFrame:
     Only sketches travel here, so sets are sent for these rows alone.
     """
 
+    @tidied
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in whole_groups(batches):
             keep = np.zeros(len(part), bool)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .meeting import PACKED_SCHEMA, Packer, linked_up, meet, padded, partitions
-from .shingles import mixed, shingle_set
+from .shingles import mixed, shingle_set, tidied
 from .staging import Sieve, staged
 
 #: Ratio of a band's ends, and smaller parts in a part.
@@ -112,6 +112,7 @@ PAYLOAD = "doc_id long, n long, digest binary"
 def _signed(plan: Plan, n: int, parts: int):
     """Size and digest of each document's set; packed, the signatures of sets new to the task."""
 
+    @tidied
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first: set[bytes] = set()
         packer, turn = Packer(parts), 0

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 #: Words whose hashes a worker keeps.
@@ -18,6 +23,22 @@ class _Hashes(dict):
 _seen = _Hashes()
 
 
+def tidied(run: Callable) -> Callable:
+    """``run`` over batches; then what it held goes back to the system, since workers outlive tasks."""
+
+    @wraps(run)
+    def inner(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            _seen.clear()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return inner
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64, on an unsigned array."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
