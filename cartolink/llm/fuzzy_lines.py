@@ -206,9 +206,9 @@ def repeated(docs: DataFrame) -> DataFrame:
     # Where each line occurs, and the first place of its component.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at")
     occurs = signed.where("bucket is null").select("row", "doc_id", F.posexplode("lines").alias("at", "line")).where("line <> 0")
-    first = occurs.groupBy("line").agg(F.min(place).alias("place"), F.max(place).alias("last"))
+    first = occurs.groupBy("line").agg(F.min(place).alias("place"), F.count("*").alias("times"))
     first = first.join(roots.withColumnRenamed("node", "line"), "line", "left")
-    first = staged(first.where("root is not null or place <> last").select("line", "root", "place"), "fl-first")
+    first = staged(first.where("root is not null or times > 1").select("line", "root", "place"), "fl-first")
     several = first.where("root is not null")
     kept = staged(several.groupBy("root").agg(F.min("place").alias("kept")), "fl-kept")
     first = several.join(kept, "root").select("line", "kept").unionByName(first.where("root is null").select("line", F.col("place").alias("kept")))
@@ -224,13 +224,14 @@ def row_key():
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with ``text`` rewritten, ``n_lines`` and ``n_removed``.
 
-    ``n_lines`` counts lines that are not blank.  Only rows that may lose lines are shuffled.
+    ``n_lines`` counts lines that are not blank.  Only rows that may lose lines are shuffled,
+    and merged at any size.
     """
     dropped = staged(repeated(docs), "fl-dropped").select(F.col("row").alias("_fl_row"), F.col("dropped").alias("_fl_dropped"))
     rows = docs.withColumn("_fl_row", row_key())
     may = Sieve(dropped, "_fl_row").may(F.col("_fl_row"))
     none = F.lit(None).cast("array<int>").alias("_fl_dropped")
-    rows = rows.where(~may).select("*", none).unionByName(rows.where(may).join(dropped, "_fl_row", "left")).drop("_fl_row")
+    rows = rows.where(~may).select("*", none).unionByName(rows.where(may).join(dropped.hint("merge"), "_fl_row", "left")).drop("_fl_row")
     lines = F.split(F.col("text").cast("string"), "\n", -1)
     left = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col("_fl_dropped"), s["i"]))
     text = F.when(F.col("_fl_dropped").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda s: s["x"]), "\n"))

@@ -31,7 +31,7 @@ from .shingles import mixed, tidied
 from .staging import Sieve, staged
 
 #: Keys that a task packs at once, labels for each partition, members of a block.
-PACKED, LABELS, BLOCK = 500_000, 8, 512
+PACKED, LABELS, BLOCK = 500_000, 8, 256
 #: Characters of text whose keys a partition is to hold at most.
 PART_CHARS = 32_000_000
 PACKED_SCHEMA = "part int, keys binary, ids binary"

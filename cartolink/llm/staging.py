@@ -103,6 +103,9 @@ def may_hold(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
-    """``rows`` whose ``key`` is not in ``gone``.  Only rows that the sieve can't clear are shuffled."""
+    """``rows`` whose ``key`` is not in ``gone``.  Only rows that the sieve can't clear are shuffled.
+
+    Merged at any size, so that what a small table shows is the plan of a large one.
+    """
     may = Sieve(gone, key).may(F.col(key))
-    return rows.where(~may).unionByName(rows.where(may).join(gone, key, "left_anti"))
+    return rows.where(~may).unionByName(rows.where(may).join(gone.hint("merge"), key, "left_anti"))
