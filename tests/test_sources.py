@@ -114,6 +114,44 @@ def test_pixel_columns(spark):
     assert len(got[0]["h"]["phash"]) == 4 and got[0]["s"] == pytest.approx(1.0) and got[1]["s"] is None
 
 
+def test_glyph_scores_by_sums_over_places():
+    rng = np.random.default_rng(3)
+    a, b = resized_noise(rng), images.degrade(resized_noise(rng), 1)
+    field, best = np.pad(a.astype(float), images.PAD, constant_values=images.GREY), 0.0
+    for side in (51, 58, 64, 70):  # 80 is more than the padded 76
+        t = np.rint(images.resize(b, side, side))
+        for y in range(77 - side):
+            for x in range(77 - side):
+                part = field[y : y + side, x : x + side]
+                best = max(best, float(np.corrcoef(part.ravel(), t.ravel())[0, 1]))
+    assert images.correlation(a, b) == pytest.approx(best, abs=1e-9)
+    assert images.correlation(a, np.full((64, 64), 9, np.uint8)) == 0.0
+
+
+def test_glyph_parts():
+    rng = np.random.default_rng(4)
+    mask = rng.random((9, 7)) > 0.4
+    near = lambda y, x: [mask[j, i] if 0 <= j < 9 and 0 <= i < 7 else True for j in range(y - 1, y + 2) for i in range(x - 1, x + 2)]
+    assert (images.box_counts(mask, True) == [[sum(near(y, x)) for x in range(7)] for y in range(9)]).all()
+    grey = rng.integers(0, 255, (30, 50)).astype(np.uint8)
+    canvas = np.full((50, 50), images.GREY)
+    canvas[10:40] = grey
+    assert (images.squared(grey) == np.rint(images.resize(canvas, 64, 64))).all()
+
+
+def test_image_columns(spark):
+    rng = np.random.default_rng(5)
+    image = rng.integers(0, 255, (8, 6, 3)).astype(np.uint8)
+    rows = [((8, 6, 3, bytearray(image.tobytes())), 90, [(1, 1, 5, 5)], [(2, 2, 3, 3)]), ((8, 6, 3, bytearray(b"short")), 90, None, None), (None, 45, [], []), ((8, 6, 3, bytearray(image.tobytes())), 30, None, None)]
+    box = "array<struct<x1:int,y1:int,x2:int,y2:int>>"
+    df = spark.createDataFrame(rows, f"image struct<height:int,width:int,channels:int,pixels:binary>, angle int, icons {box}, keep {box}")
+    got = df.select(images.rotated("image", "angle").alias("r"), images.masked("image", "icons", "keep").alias("m"), images.glyph_of("image").alias("g"), images.degraded(images.glyph_of("image"), F.lit(1)).alias("d")).collect()
+    assert bytes(got[0]["r"]["pixels"]) == images.rotate(image, 90).tobytes() and got[0]["r"]["height"] == 6
+    assert bytes(got[0]["m"]["pixels"]) == images.mask_icons(image, [(1, 1, 5, 5)], [(2, 2, 3, 3)]).tobytes()
+    assert bytes(got[0]["g"]) == images.glyph(image).tobytes() and len(got[0]["d"]) == 4096
+    assert got[1]["g"] is None and got[2]["g"] is None and got[3]["r"]["pixels"] is None and got[3]["m"]["pixels"] is not None
+
+
 def test_plans(spark, tmp_path):
     vec = [(k, [float((k * 7 + i * 3) % 11 - 5) for i in range(64)], k % 3) for k in range(40)]
     spark.createDataFrame(vec, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
