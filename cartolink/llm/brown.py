@@ -11,8 +11,8 @@ score is the sum over its tokens of the log10 probability of the token's class a
 the class before it, smoothed towards the class's own frequency, and of the token
 given its class, smoothed by adding ``ADD``.
 
-Counts cover every training text.  Word bigrams and each word's neighbours by class
-stay in tables.  The clustered words' keys, counts and classes (some 34 bytes a word)
+Counts cover every training text.  Word bigrams stay in a table, all of a word in one
+row of ranges of words, so a pass reads it and shuffles nothing.  The clustered words' keys, counts and classes (some 34 bytes a word)
 come to the driver and are sent to all tasks: they grow as the words that occur
 ``LEAST`` times do, which is slower than the text.  All other words' counts meet
 their occurrences in a join.
@@ -33,14 +33,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .meeting import partitions
 from .staging import staged
 
 #: Occurrences of a word that is put into a class.
 LEAST = 10
 #: Words to start from, classes, rounds over the words to start from and passes over all.
 SEEDS, CLASSES, ROUNDS, PASSES = 1_500, 48, 4, 3
-#: Word bigrams that a worker keeps at once, and words moved at once.
-BIGRAMS, MOVED = 4_000_000, 128
+#: Word bigrams that a worker keeps at once, words moved at once, and classes tried for each.
+BIGRAMS, MOVED, TRIED = 3_000_000, 512, 3
 ADD = 0.1
 #: Weight of a class's own frequency in its probability after another class.
 BACK = 20.0
@@ -212,48 +213,83 @@ def best_classes(grid: np.ndarray, classes: int, old: np.ndarray, right: np.ndar
 
     ``right`` and ``left`` count a word's neighbours by class, (words, classes of the
     grid), ``same`` itself after itself, and ``old`` is its class.  A word of a class
-    beyond ``classes`` has to move.
+    beyond ``classes`` has to move.  The exact gain in likelihood is taken for the
+    ``TRIED`` classes of the largest first-order gain and for the word's own.
     """
+    logs = np.log(grid + 0.5)
+    margin = lambda axis: np.log(grid.sum(axis) + 0.5)
+    rough = right @ (logs[:classes] - margin(1)[:classes, None]).T + left @ (logs[:, :classes] - margin(0)[:classes])
+    tried = min(TRIED, classes)
     out = np.empty(len(old), np.int64)
     for first in range(0, len(old), MOVED):
         part = slice(first, first + MOVED)
         o, s = old[part], same[part].astype(float)
         n = np.arange(len(o))
+        inside = o < classes
+        c = np.argpartition(-rough[part], tried - 1, 1)[:, :tried]
+        c = np.concatenate([np.where(inside, o, c[:, 0])[:, None], c], 1)
         r, l = right[part].astype(float), left[part].astype(float)  # noqa: E741
         r[n, o] -= s
         l[n, o] -= s
-        g = np.repeat(grid[None], len(o), 0)
-        g[n, o] -= r
-        g[n, :, o] -= l
-        g[n, o, o] -= s
-        rows, cols = g[:, :classes], g[:, :, :classes]
-        gain = (_xlogx(rows + r[:, None, :]) - _xlogx(rows)).sum(2)
-        gain += (_xlogx(cols + l[:, :, None]) - _xlogx(cols)).sum(1)
-        diagonal = g[:, np.arange(classes), np.arange(classes)]
-        rc, lc, s = r[:, :classes], l[:, :classes], s[:, None]
+        # Rows and columns of the classes tried, with the word taken out.
+        own = c == o[:, None]
+        rows, cols = grid[c], grid.T[c]
+        rows -= own[:, :, None] * r[:, None, :]
+        cols -= own[:, :, None] * l[:, None, :]
+        rc, lc = np.take_along_axis(r, c, 1), np.take_along_axis(l, c, 1)
+        at = np.broadcast_to(o[:, None, None], (*c.shape, 1))
+        take = lambda x, by: np.put_along_axis(x, at, np.take_along_axis(x, at, 2) - by[:, :, None], 2)
+        take(rows, lc + own * s[:, None])
+        take(cols, rc + own * s[:, None])
+        gain = (_xlogx(rows + r[:, None, :]) - _xlogx(rows)).sum(2) + (_xlogx(cols + l[:, None, :]) - _xlogx(cols)).sum(2)
+        diagonal, s = np.take_along_axis(rows, c[:, :, None], 2)[:, :, 0], s[:, None]
         gain += _xlogx(diagonal + rc + lc + s) - _xlogx(diagonal + rc) - _xlogx(diagonal + lc) + _xlogx(diagonal)
-        after, before = (g.sum(2) + l)[:, :classes], (g.sum(1) + r)[:, :classes]
+        # Margins with the word's neighbours, which stay where they are.
+        after, before = rows.sum(2) + lc, cols.sum(2) + rc
         gain -= _xlogx(after + r.sum(1)[:, None] + s) - _xlogx(after) + _xlogx(before + l.sum(1)[:, None] + s) - _xlogx(before)
-        new = gain.argmax(1)
-        inside = o < classes
-        stays = inside & (gain[n, new] <= gain[n, np.where(inside, o, 0)] + 1e-9)
-        out[part] = np.where(stays, o, new)
+        best = gain.argmax(1)
+        stays = inside & (gain[n, best] <= gain[:, 0] + 1e-9)
+        out[part] = np.where(stays, o, c[n, best])
     return out
 
 
-def word_bigrams(learn: DataFrame, shared, size: int) -> DataFrame:
-    """(a, b, n): counts of words of ``shared``, shapes and the end after one another.
+SIDES = ("w0", "o0", "n0", "w1", "o1", "n1")
+
+
+def _bytes(w: np.ndarray, o: np.ndarray, n: np.ndarray) -> tuple[bytes, ...]:
+    """Words in ascending order as differences, their neighbours and counts."""
+    return tuple(x.astype(np.int32).tobytes() for x in (np.diff(w, prepend=0), o, n))
+
+
+def _arrays(row: tuple[bytes, ...]) -> tuple[np.ndarray, ...]:
+    w, o, n = (np.frombuffer(x, np.int32).astype(np.int64) for x in row)
+    return np.cumsum(w), o, n
+
 
-    A pair comes once for each ``BIGRAMS`` of a part of the rows.
+def word_bigrams(learn: DataFrame, shared, size: int, parts: int) -> DataFrame:
+    """Counts of words of ``shared``, shapes and the end after one another, by the word.
+
+    A row for each range of words, as bytes: (w0, o0, n0) words, what comes after them and
+    how often; (w1, o1, n1) the same with what comes before, of clustered words only.
     """
+    symbols = size + SHAPES + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes, end = shared.value.codes(), size + SHAPES
-        symbols, held, many = end + 1, [], 0
+        codes, end = shared.value.codes(), symbols - 1
+        held, many = [], 0
 
         def out() -> pd.DataFrame:
             at, n = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"a": (at // symbols).astype(np.int32), "b": (at % symbols).astype(np.int32), "n": n.astype(np.int64)})
+            a, b = at // symbols, at % symbols
+            order = np.argsort(b, kind="stable")
+            order = order[b[order] < size]
+            rows = []
+            for side, w, o, k in ((0, a, b, n), (1, b[order], a[order], n[order])):
+                part = w * parts // symbols
+                cuts = np.flatnonzero(np.diff(part, prepend=-1))
+                for s, e in zip(cuts, [*cuts[1:], len(part)], strict=False):
+                    rows.append((int(part[s]), side, *_bytes(w[s:e], o[s:e], k[s:e])))
+            return pd.DataFrame(rows, columns=["part", "side", "w", "o", "n"]).astype({"part": "int32", "side": "int32"})
 
         for batch in batches:
             for text in batch["text"]:
@@ -268,7 +304,33 @@ def word_bigrams(learn: DataFrame, shared, size: int) -> DataFrame:
         if held:
             yield out()
 
-    return learn.mapInPandas(run, "a int, b int, n long")
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held = None, ([], [])
+
+        def out() -> pd.DataFrame:
+            row = []
+            for side in held:
+                w, o, n = (np.concatenate(x) for x in zip(*side, strict=True)) if side else [np.zeros(0, np.int64)] * 3
+                key = w * symbols + o
+                order = np.argsort(key, kind="stable")  # of runs in order
+                key, n = key[order], n[order]
+                starts = np.flatnonzero(np.diff(key, prepend=-1))
+                row += _bytes(key[starts] // symbols, key[starts] % symbols, np.add.reduceat(n, starts) if len(starts) else n)
+            return pd.DataFrame([row], columns=list(SIDES))
+
+        for batch in batches:
+            for part, side, *row in batch[["part", "side", "w", "o", "n"]].itertuples(index=False):
+                if part != at and at is not None:
+                    yield out()
+                    held = ([], [])
+                at = part
+                held[side].append(_arrays(row))
+        if at is not None:
+            yield out()
+
+    found = learn.mapInPandas(run, "part int, side int, w binary, o binary, n binary")
+    found = found.repartition(parts, "part").sortWithinPartitions("part")
+    return found.mapInPandas(merged, ", ".join(f"{c} binary" for c in SIDES))
 
 
 def class_bigrams(bigrams: DataFrame, of: np.ndarray, total: int) -> np.ndarray:
@@ -276,13 +338,15 @@ def class_bigrams(bigrams: DataFrame, of: np.ndarray, total: int) -> np.ndarray:
     shared = bigrams.sparkSession.sparkContext.broadcast(of)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, of = np.zeros(total * total, np.int64), shared.value.astype(np.int64)
+        found, of = np.zeros(total * total), shared.value.astype(np.int64)
         for batch in batches:
-            np.add.at(found, of[batch["a"].to_numpy()] * total + of[batch["b"].to_numpy()], batch["n"].to_numpy())
+            for row in batch.itertuples(index=False):
+                w, o, n = _arrays(row)
+                found += np.bincount(of[w] * total + of[o], n, total * total)
         at = np.flatnonzero(found)
-        yield pd.DataFrame({"pair": at, "n": found[at]})
+        yield pd.DataFrame({"pair": at, "n": found[at].astype(np.int64)})
 
-    got = bigrams.mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    got = bigrams.select(*SIDES[:3]).mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     shared.unpersist()
     grid = np.zeros(total * total)
     grid[got["pair"].to_numpy()] = got["n"].to_numpy()
@@ -290,52 +354,32 @@ def class_bigrams(bigrams: DataFrame, of: np.ndarray, total: int) -> np.ndarray:
 
 
 def moved(bigrams: DataFrame, of: np.ndarray, grid: np.ndarray, size: int, classes: int) -> np.ndarray:
-    """``of`` with each of the first ``size`` symbols, the words, moved to its best class."""
+    """``of`` with each of the first ``size`` symbols, the words, moved to its best class; no shuffle."""
     total = len(grid)
-    slots = 2 * total + 1  # classes after the word, before it, and the word itself
     shared = bigrams.sparkSession.sparkContext.broadcast((of, grid))
 
-    def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = shared.value[0].astype(np.int64)
-        held, counts, many = [], [], 0
-
-        def out() -> pd.DataFrame:
-            at, place = np.unique(np.concatenate(held), return_inverse=True)
-            n = np.bincount(place, np.concatenate(counts), len(at)).astype(np.int64)
-            return pd.DataFrame({"w": (at // slots).astype(np.int32), "slot": (at % slots).astype(np.int32), "n": n})
-
-        for batch in batches:
-            a, b, n = batch["a"].to_numpy().astype(np.int64), batch["b"].to_numpy().astype(np.int64), batch["n"].to_numpy()
-            first, second, twice = a < size, b < size, (a == b) & (a < size)
-            held += [a[first] * slots + of[b[first]], b[second] * slots + total + of[a[second]], a[twice] * slots + 2 * total]
-            counts += [n[first], n[second], n[twice]]
-            many += len(a)
-            if many >= BIGRAMS:
-                yield out()
-                held, counts, many = [], [], 0
-        if many:
-            yield out()
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of, grid = shared.value
-        rows = [batch for batch in batches if len(batch)]
-        if not rows:
-            return
-        rows = pd.concat(rows)
-        found, place = np.unique(rows["w"].to_numpy(), return_inverse=True)
-        order = np.argsort(place, kind="stable")
-        place, slot, n = place[order], rows["slot"].to_numpy()[order], rows["n"].to_numpy()[order]
-        for first in range(0, len(found), 64 * MOVED):
-            mine = found[first : first + 64 * MOVED]
-            low, high = np.searchsorted(place, [first, first + len(mine)])
-            table = np.zeros((len(mine), slots))
-            table[place[low:high] - first, slot[low:high]] = n[low:high]
-            to = best_classes(grid, classes, of[mine].astype(np.int64), table[:, :total], table[:, total : 2 * total], table[:, -1])
-            yield pd.DataFrame({"w": mine, "class": to.astype(np.int32)})
-
-    # A word's rows come to one partition, where they are summed and stay.
-    near = bigrams.mapInPandas(neighbours, "w int, slot int, n long").repartition("w").groupBy("w", "slot").agg(F.sum("n").alias("n"))
-    got = near.mapInPandas(best, "w int, class int").toArrow()
+        of = of.astype(np.int64)
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                after, before = _arrays(row[:3]), _arrays(row[3:])
+                found = np.unique(np.concatenate([after[0], before[0]]))
+                found = found[found < size]
+                for first in range(0, len(found), 64 * MOVED):
+                    mine = found[first : first + 64 * MOVED]
+                    counts = []
+                    for w, o, n in (after, before):
+                        s, e = np.searchsorted(w, [mine[0], mine[-1] + 1])
+                        at = np.searchsorted(mine, w[s:e])
+                        counts.append(np.bincount(at * total + of[o[s:e]], n[s:e], len(mine) * total).reshape(-1, total))
+                        if len(counts) == 1:
+                            twice = w[s:e] == o[s:e]
+                            same = np.bincount(at[twice], n[s:e][twice], len(mine))
+                    to = best_classes(grid, classes, of[mine], *counts, same)
+                    yield pd.DataFrame({"w": mine.astype(np.int32), "class": to.astype(np.int32)})
+
+    got = bigrams.mapInPandas(run, "w int, class int").toArrow()
     shared.unpersist()
     new = of.copy()
     new[got["w"].to_numpy()] = got["class"].to_numpy()
@@ -371,7 +415,7 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
 
     # Symbols: the clustered words, the shapes, the end (also before the first token).
     shared = docs.sparkSession.sparkContext.broadcast(Head(keys, {}))
-    bigrams = staged(word_bigrams(learn, shared, size), "lm-bigrams")
+    bigrams = staged(word_bigrams(learn, shared, size, partitions(learn)), "lm-bigrams")
     shared.unpersist()
     top = min(SEEDS, size)
     classes = min(CLASSES, top)
