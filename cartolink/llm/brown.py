@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .meeting import partitions
+from .shingles import tidied
 from .staging import staged
 
 #: Occurrences of a word that is put into a class.
@@ -41,13 +42,13 @@ LEAST = 10
 #: Words to start from, classes, rounds over the words to start from and passes over all.
 SEEDS, CLASSES, ROUNDS, PASSES = 1_500, 48, 4, 3
 #: Word bigrams that a worker keeps at once, words moved at once, and classes tried for each.
-BIGRAMS, MOVED, TRIED = 3_000_000, 512, 3
+BIGRAMS, MOVED, TRIED = 1_500_000, 512, 3
 ADD = 0.1
 #: Weight of a class's own frequency in its probability after another class.
 BACK = 20.0
 SHAPES = 8
 #: Distinct words that a worker keeps at once.
-KEPT = 400_000
+KEPT = 250_000
 END = b"\n"  # no word holds it
 
 
@@ -80,6 +81,7 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
+@tidied
 def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Counts of a part of the rows; a word comes once for each ``KEPT`` distinct ones."""
     seen, ends = Counter(), 0
@@ -274,12 +276,14 @@ def word_bigrams(learn: DataFrame, shared, size: int, parts: int) -> DataFrame:
     """
     symbols = size + SHAPES + 1
 
+    @tidied
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes, end = shared.value.codes(), symbols - 1
         held, many = [], 0
 
         def out() -> pd.DataFrame:
             at, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
             a, b = at // symbols, at % symbols
             order = np.argsort(b, kind="stable")
             order = order[b[order] < size]
@@ -300,10 +304,11 @@ def word_bigrams(learn: DataFrame, shared, size: int, parts: int) -> DataFrame:
                 many += len(got) + 1
                 if many >= BIGRAMS:
                     yield out()
-                    held, many = [], 0
+                    many = 0
         if held:
             yield out()
 
+    @tidied
     def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, held = None, ([], [])
 
@@ -337,6 +342,7 @@ def class_bigrams(bigrams: DataFrame, of: np.ndarray, total: int) -> np.ndarray:
     """``bigrams`` summed by the classes ``of`` its symbols."""
     shared = bigrams.sparkSession.sparkContext.broadcast(of)
 
+    @tidied
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found, of = np.zeros(total * total), shared.value.astype(np.int64)
         for batch in batches:
@@ -358,6 +364,7 @@ def moved(bigrams: DataFrame, of: np.ndarray, grid: np.ndarray, size: int, class
     total = len(grid)
     shared = bigrams.sparkSession.sparkContext.broadcast((of, grid))
 
+    @tidied
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of, grid = shared.value
         of = of.astype(np.int64)
@@ -458,6 +465,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidied
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         codes, head = m.head.codes(), m.head.columns
