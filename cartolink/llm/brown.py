@@ -43,6 +43,8 @@ LEAST = 10
 SEEDS, CLASSES, ROUNDS, PASSES = 1_500, 48, 4, 3
 #: Word bigrams that a worker keeps at once, words moved at once, and classes tried for each.
 BIGRAMS, MOVED, TRIED = 1_500_000, 512, 3
+#: Ranges of words for each partition.
+RANGES = 12
 ADD = 0.1
 #: Weight of a class's own frequency in its probability after another class.
 BACK = 20.0
@@ -289,7 +291,7 @@ def word_bigrams(learn: DataFrame, shared, size: int, parts: int) -> DataFrame:
             order = order[b[order] < size]
             rows = []
             for side, w, o, k in ((0, a, b, n), (1, b[order], a[order], n[order])):
-                part = w * parts // symbols
+                part = w * (RANGES * parts) // symbols
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
                 for s, e in zip(cuts, [*cuts[1:], len(part)], strict=False):
                     rows.append((int(part[s]), side, *_bytes(w[s:e], o[s:e], k[s:e])))
