@@ -23,8 +23,9 @@ equal or null ids do no harm.  With no training text every count is 0.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,7 +43,7 @@ LEAST = 10
 #: Words to start from, classes, rounds over the words to start from and passes over all.
 SEEDS, CLASSES, ROUNDS, PASSES = 1_500, 48, 4, 3
 #: Word bigrams that a worker keeps at once, words moved at once, and classes tried for each.
-BIGRAMS, MOVED, TRIED = 1_500_000, 512, 3
+BIGRAMS, MOVED, TRIED = 1_000_000, 512, 3
 #: Ranges of words for each partition.
 RANGES = 12
 ADD = 0.1
@@ -50,7 +51,7 @@ ADD = 0.1
 BACK = 20.0
 SHAPES = 8
 #: Distinct words that a worker keeps at once.
-KEPT = 250_000
+KEPT = 200_000
 END = b"\n"  # no word holds it
 
 
@@ -63,16 +64,23 @@ def key(word: bytes) -> int:
 END_KEY = key(END)
 
 
+DIGIT = re.compile(rb"[0-9]").search
+
+
 def shape(word: bytes) -> int:
     """What an infrequent word looks like: digits, a mark at its end, marks inside, or its length."""
-    if any(48 <= b <= 57 for b in word):
+    if word.isalpha():
+        return 6 + (len(word) > 8)
+    if DIGIT(word):
         return 0
-    if not word[-1:].isalpha() and word[-1] < 128:
+    if word[-1] < 128 and not word[-1:].isalpha():
         return 1 if word[-1] in b".!?" else 2
-    if not word.isalpha() and all(b < 128 for b in word):
-        return 3
-    long = 6 if max(word) < 128 else 4
-    return long + (len(word) > 8)
+    return 3 if word.isascii() else 4 + (len(word) > 8)
+
+
+def hashes(found: list[bytes]) -> np.ndarray:
+    """``key`` of each."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)).view(np.int64)
 
 
 def words(text: object) -> list[bytes]:
@@ -89,7 +97,7 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     seen, ends = Counter(), 0
 
     def out() -> pd.DataFrame:
-        return pd.DataFrame({"h": [key(w) for w in seen], "shape": [shape(w) for w in seen], "n": list(seen.values())}, dtype="int64")
+        return pd.DataFrame({"h": hashes(list(seen)), "shape": np.fromiter(map(shape, seen), np.int64, len(seen)), "n": np.fromiter(seen.values(), np.int64, len(seen))})
 
     for batch in batches:
         for text in batch["text"]:
@@ -113,26 +121,28 @@ def count_words(train: DataFrame) -> DataFrame:
 class _Codes(dict):
     """Word -> its place in the head, or below 0 for a place among the tail words seen."""
 
-    def __init__(self, place: Callable[[int], int]):
-        self.place, self.tail = place, []
+    def __init__(self, head: np.ndarray):
+        self.head, self.tail = head, []
         self.shapes = np.zeros(1024, np.int64)  # of the tail
 
-    def __missing__(self, word: bytes) -> int:
-        h = key(word)
-        at = self.place(h)
-        if at < 0:
-            self.tail.append(h)
-            at = -len(self.tail)
-            if len(self.tail) > len(self.shapes):
-                self.shapes = np.concatenate([self.shapes, self.shapes])
-            self.shapes[-at - 1] = shape(word)
-        self[word] = at
-        return at
+    def _learn(self, new: list[bytes]) -> None:
+        h = hashes(new)
+        at = np.searchsorted(self.head, h)
+        known = self.head[np.minimum(at, len(self.head) - 1)] == h if len(self.head) else np.zeros(len(h), bool)
+        beyond, first = np.flatnonzero(~known), len(self.tail)
+        at[beyond] = -1 - first - np.arange(len(beyond))
+        self.tail += h[beyond].tolist()
+        while len(self.tail) > len(self.shapes):
+            self.shapes = np.concatenate([self.shapes, self.shapes])
+        self.shapes[first : len(self.tail)] = [shape(new[k]) for k in beyond.tolist()]
+        self.update(zip(new, at.tolist(), strict=True))
 
     def of(self, tokens: list[bytes]) -> np.ndarray:
         if len(self) > KEPT:
             self.clear()
             self.tail.clear()
+        if new := [w for w in set(tokens) if w not in self]:
+            self._learn(new)
         return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
 
 
@@ -144,13 +154,7 @@ class Head:
     columns: dict[str, np.ndarray]
 
     def codes(self) -> _Codes:
-        keys = self.keys
-
-        def place(h: int) -> int:
-            at = int(keys.searchsorted(np.int64(h)))
-            return at if at < len(keys) and keys[at] == h else -1
-
-        return _Codes(place)
+        return _Codes(self.keys)
 
 
 def exchange(bigrams: np.ndarray, symbols: int, classes: int, rounds: int) -> np.ndarray:
