@@ -295,7 +295,10 @@ def word_bigrams(learn: DataFrame, shared, size: int, parts: int) -> DataFrame:
             order = order[b[order] < size]
             rows = []
             for side, w, o, k in ((0, a, b, n), (1, b[order], a[order], n[order])):
-                part = w * (RANGES * parts) // symbols
+                # Of shapes and the end, which meet nearly all words, the other word decides the range.
+                part = np.where(w < size, w, o) * (RANGES * parts) // symbols
+                order = np.argsort(part, kind="stable")
+                part, w, o, k = part[order], w[order], o[order], k[order]
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
                 for s, e in zip(cuts, [*cuts[1:], len(part)], strict=False):
                     rows.append((int(part[s]), side, *_bytes(w[s:e], o[s:e], k[s:e])))

@@ -54,6 +54,26 @@ def rolling(x: np.ndarray, size: int) -> np.ndarray:
     return (sums[size:] - sums[:-size]) * _powers(INVERSE, len(x) - size + 1)
 
 
+#: Places of one hash in a text from which on they are compared all at once.
+MANY = 16
+
+
+def _at_once(item: np.ndarray, text: np.ndarray, taken_item: np.ndarray, taken_text: np.ndarray, i: int, js: np.ndarray, size: int) -> list[tuple[int, int, int]]:
+    """(length, i, j) of the matches of ``size`` or more that begin at i and one of ``js``, where a text repeats itself."""
+    begins = item[i] == text[js]
+    if i and not taken_item[i - 1]:
+        begins &= ~((js > 0) & ~taken_text[js - 1] & (item[i - 1] == text[js - 1]))
+    js = js[begins]
+    lengths, going, n = np.zeros(len(js), int), np.arange(len(js)), 0
+    while len(going) and not taken_item[i + n]:
+        at = js[going] + n
+        free = ~taken_text[at]
+        going = going[free][item[i + n] == text[at[free]]]
+        n += 1
+        lengths[going] = n
+    return [(int(n), i, int(j)) for n, j in zip(lengths, js, strict=True) if n >= size]
+
+
 def tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """(start in item, start in text, length) of the tiles, longest first in each pass."""
     taken_item, taken_text = np.zeros(len(item) + 1, bool), np.zeros(len(text) + 1, bool)
@@ -68,8 +88,11 @@ def tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int
         low, high = np.searchsorted(h_text[order], h_item, "left"), np.searchsorted(h_text[order], h_item, "right")
         matches = []
         for k in np.flatnonzero(high > low):
-            i = int(at_item[k])
-            for j in at_text[order[low[k] : high[k]]].tolist():
+            i, js = int(at_item[k]), at_text[order[low[k] : high[k]]]
+            if len(js) > MANY:
+                matches += _at_once(item, text, taken_item, taken_text, i, js, size)
+                continue
+            for j in js.tolist():
                 if (i and j and not taken_item[i - 1] and not taken_text[j - 1] and item[i - 1] == text[j - 1]) or item[i] != text[j]:
                     continue  # a part of the match that begins before it
                 n = 0

@@ -9,7 +9,8 @@ that reach it join in, and so does the part with the largest density sum of ever
 element that reaches it, as do all elements around it.  Menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments are known by tag, role, class or id and count for nothing.
 
-Null and empty pages give an empty text.  Tags that are open at the end are
+Null and empty pages give an empty text, very long and deep ones take time in proportion.  Further
+columns are not read.  Tags that are open at the end are
 closed; a tag that never ends is text's end.  Rows are worked on one by one, so
 equal or null ids do no harm.  No shuffle; memory is that of one batch of pages.
 """
@@ -19,7 +20,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -80,7 +81,11 @@ class Page:
         self.tag, self.parent, self.skip = ["body"], [-1], [False]
         self.chars, self.tags, self.link_chars, self.link_tags = [0], [0], [0], [0]
         self.pieces: list[tuple[int, int, str]] = []  # block, node, text
-        self.in_article, self.open = [False], Counter()
+        self.in_article = [False]
+        # Places on the stack, innermost last: by tag, of containers, of blocks.
+        self.where: dict[str, list[int]] = defaultdict(list)
+        self.stops: list[int] = []
+        self.blocks: list[int] = []
         self.block, self.stack = 0, [0]
         self._parse(source)
 
@@ -100,34 +105,32 @@ class Page:
         for counts in (self.chars, self.tags, self.link_chars, self.link_tags):
             counts.append(0)
         if tag not in VOID:
+            self.where[tag].append(len(stack))
+            if tag in BLOCK:
+                self.blocks.append(len(stack))
+            if tag in BLOCK or tag in ("td", "th"):
+                self.stops.append(len(stack))
             stack.append(node)
-            self.open[tag] += 1
 
     def _close_implied(self, tags: set[str]) -> None:
-        """Close an open element of ``tags`` unless a container stands above it."""
-        for at in range(len(self.stack) - 1, 0, -1):
-            tag = self.tag[self.stack[at]]
-            if tag in tags:
-                self._cut(at)
-                return
-            if tag in BLOCK or tag in ("td", "th"):
-                return
+        """Close the innermost open element of ``tags`` unless a container stands above it."""
+        at = max((self.where[tag][-1] for tag in tags if self.where[tag]), default=0)
+        if at and at >= (self.stops[-1] if self.stops else 0):
+            self._cut(at)
 
     def _cut(self, at: int) -> None:
         for node in self.stack[at:]:
-            self.open[self.tag[node]] -= 1
+            self.where[self.tag[node]].pop()
+        for places in (self.stops, self.blocks):
+            while places and places[-1] >= at:
+                places.pop()
         del self.stack[at:]
 
     def _close(self, tag: str) -> None:
-        if not self.open[tag]:
-            return
-        for at in range(len(self.stack) - 1, 0, -1):
-            have = self.tag[self.stack[at]]
-            if have == tag:
-                self._cut(at)
-                return
-            if tag not in BLOCK and have in BLOCK:
-                return  # an inline end tag doesn't close blocks
+        at = self.where[tag][-1] if self.where[tag] else 0
+        # An inline end tag doesn't close blocks.
+        if at and (tag in BLOCK or at > (self.blocks[-1] if self.blocks else 0)):
+            self._cut(at)
 
     def _text(self, raw: str) -> None:
         text = html.unescape(raw) if "&" in raw else raw

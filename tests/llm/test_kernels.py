@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -152,6 +153,31 @@ def test_html_deep():
     assert html_text.main_text("<div>" * 20_000 + "x") == "x"
 
 
+def test_html_takes_time_in_proportion():
+    seconds = []
+    for n in (3_000, 12_000):
+        for page in ("<b>" * n + "<p>x" * n, "<i><div>" + "<b>" * n + "x</i>" * n):
+            began = time.process_time()
+            assert html_text.main_text(page).replace("\n", "") == "x" * n
+            seconds.append(time.process_time() - began)
+    assert seconds[2] < 12 * seconds[0] + 0.5 and seconds[3] < 12 * seconds[1] + 0.5
+
+
+def test_tiling_of_repetitive_texts():
+    rng = random.Random(9)
+    for _ in range(40):  # two or three different words
+        item = np.array([rng.choice([1, 1, 1, 2]) for _ in range(30)], np.uint64)
+        text = np.array([rng.choice([1, 1, 1, 2, 3]) for _ in range(120)], np.uint64)
+        many, decontaminate.MANY = decontaminate.MANY, 0
+        at_once = decontaminate.tiles(item, text, 3)
+        decontaminate.MANY = 10**9
+        assert at_once == decontaminate.tiles(item, text, 3)
+        decontaminate.MANY = many
+    began = time.process_time()
+    assert sum(n for *_, n in decontaminate.tiles(np.ones(200, np.uint64), np.ones(20_000, np.uint64), 5)) == 200
+    assert time.process_time() - began < 2
+
+
 def brute_tiles(item, text, least):
     p, d, out = [False] * len(item), [False] * len(text), 0
     while True:
