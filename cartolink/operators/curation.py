@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cartolink.functions.text import base_name, path_key, stem_of
 
-from .taxonomy import first_wins
+from .taxonomy import closest, first_wins
 
 
 def find_partner(files: DataFrame, partners: DataFrame) -> DataFrame:
@@ -22,6 +22,33 @@ def find_partner(files: DataFrame, partners: DataFrame) -> DataFrame:
     return out.select(*files.columns, F.coalesce("by_stem", "by_key").alias("partner"))
 
 
+def clean_name(file: Column) -> Column:
+    """An export's file name as it was before the export: its suffix off, blanks as underscores."""
+    # Fixed value: how exported files are named.
+    exported = r"_[A-Za-z0-9]+\.rf\.[A-Za-z0-9]+\.([A-Za-z0-9]+)$"
+    suffix = F.regexp_extract(file, exported, 1)
+    base = F.regexp_replace(file, exported, "")
+    dot = F.regexp_extract(file, r"(?s)^(.*)\.([^.]*)$", 2)
+    stem = F.when(F.contains(file, F.lit(".")), F.regexp_extract(file, r"(?s)^(.*)\.([^.]*)$", 1)).otherwise(file)
+    plain = F.concat(F.regexp_replace(stem, " ", "_"), F.when(dot != "", F.concat(F.lit("."), dot)).otherwise(""))
+    return F.when(suffix != "", F.concat(F.regexp_replace(base, " ", "_"), F.lit("."), suffix)).otherwise(plain)
+
+
+def clean_names(files: DataFrame, known: DataFrame, column: str, cutoff: float = 0.6) -> DataFrame:
+    """``files`` with ``clean`` and ``status``: the known name (``key``) that is equal, else the closest, else the name itself."""
+    named = files.withColumn("name", clean_name(F.col(column)))
+    close = closest(named.select("name").distinct(), known, cutoff).select("name", "close")
+    out = named.join(close, "name", "left")
+    status = F.when(F.col("close") == F.col("name"), "exact").when(F.col("close").isNotNull(), "fuzzy").otherwise("none")
+    return out.withColumn("status", status).withColumn("clean", F.coalesce("close", "name")).drop("close", "name")
+
+
+def reason_counts(rejected: DataFrame, reason: str = "rejected") -> DataFrame:
+    """(cause, n): refusals by cause, the numbers in their texts left out; most frequent first is the caller's order."""
+    cause = F.trim(F.regexp_replace(F.regexp_replace(F.col(reason), r"[0-9]+(\.[0-9]+)?", ""), r"\s+", " "))
+    return rejected.where(F.col(reason).isNotNull()).groupBy(cause.alias("cause")).agg(F.count("*").alias("n"))
+
+
 def tree_match(one: DataFrame, two: DataFrame, key) -> DataFrame:
     """(path) x (path) -> path, partner, partners: the first partner under the key, and how many there are."""
     side = two.groupBy(key(F.col("path")).alias("key")).agg(F.min("path").alias("partner"), F.count("*").alias("partners"))
@@ -119,7 +146,7 @@ def orientation(image: DataFrame, reported: str = "reported", probed: str = "pro
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 7) -> DataFrame:
     """``n`` rows, the same at every run."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("-", F.lit(seed), F.col(key))), key).limit(n)
 
 
 def shares(df: DataFrame, name: str, seconds: str) -> DataFrame:

@@ -9,11 +9,11 @@ send it to all tasks or shuffle, by its measured size.
 from __future__ import annotations
 
 import difflib
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartolink.functions.text import digit_fold, name_key, stem_key, stem_tokens, term_key
 
@@ -113,19 +113,42 @@ def contained_terms(names: DataFrame, index: DataFrame) -> DataFrame:
     return longest.groupBy("name").agg(F.count_distinct("canonical").alias("winners"), F.min("canonical").alias("canonical")).withColumn("canonical", F.when(F.col("winners") == 1, F.col("canonical")))
 
 
-def closest(names: DataFrame, keys: list[str], cutoff: float, column: str = "name", out: str = "close") -> DataFrame:
-    """The key most similar to each name by matching blocks, at least ``cutoff``; the greater of equals.
+@F.pandas_udf(T.DoubleType())
+def likeness(name: pd.Series, key: pd.Series) -> pd.Series:
+    """Share of characters in matching blocks, of the key against the name."""
+    one = difflib.SequenceMatcher()
+    out = []
+    for n, k in zip(name, key, strict=True):
+        if one.b != n:
+            one.set_seq2(n)
+        one.set_seq1(k)
+        out.append(one.ratio())
+    return pd.Series(out, dtype="float64")
 
-    The measure has no relational form: keys (a bounded list) travel with the task
-    and only distinct names should be given.
-    """
 
-    @F.pandas_udf("string")
-    def best(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in values:
-            yield part.map(lambda v: next(iter(difflib.get_close_matches(v, keys, n=1, cutoff=cutoff)), None) if v else None).astype("object")
+def closest(names: DataFrame, keys: DataFrame, cutoff: float, column: str = "name", out: str = "close") -> DataFrame:
+    """The key (column ``key``) most similar to each name by matching blocks, at least ``cutoff``; the greater of equals.
 
-    return names.withColumn(out, best(F.col(column)))
+    Nothing is collected: names meet keys by length, as lengths alone bound the measure, and only where
+    the letters that both have could reach the cutoff are blocks matched.  A key equal to a name is found first.
+    """
+    share, text = float(cutoff), F.col(column)
+    wanted = names.where(F.length(text) > 0).select(column).distinct()
+    known = keys.select("key").distinct()
+    exact = wanted.join(known.withColumnRenamed("key", column), column).select(column, text.alias(out))
+    rest = wanted.join(exact.select(column), column, "left_anti").withColumn("length", F.length(text))
+    low = F.ceil(F.col("length") * share / (2 - share) - 1e-9).cast("int")
+    high = F.floor(F.col("length") * (2 - share) / share + 1e-9).cast("int") if share else F.lit(10**6)
+    rest = rest.withColumn("length", F.explode(F.sequence(F.greatest(low, F.lit(1)), F.greatest(high, F.lit(1)))))
+    pairs = rest.join(known.withColumn("length", F.length("key")), "length")
+    letters = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
+    # Letters of the name that the key has nowhere can't match, nor the other way round.
+    common = lambda a, b: F.size(F.filter(letters(a), lambda x: F.contains(b, x)))
+    most = F.least(common(text, F.col("key")), common(F.col("key"), text))
+    pairs = pairs.where(2 * most >= share * (F.length(text) + F.length("key")) - 1e-9)
+    scored = pairs.select(column, "key", likeness(text, F.col("key")).alias("ratio")).where(F.col("ratio") >= share)
+    best = scored.groupBy(column).agg(F.max(F.struct("ratio", "key")).alias("best")).select(column, F.col("best.key").alias(out))
+    return names.join(exact.unionByName(best), column, "left")
 
 
 def canonical_names(names: DataFrame, groups: DataFrame, terms: DataFrame, cutoff: float = 0.88) -> DataFrame:
@@ -148,7 +171,7 @@ def canonical_names(names: DataFrame, groups: DataFrame, terms: DataFrame, cutof
     rows = rows.join(held, "name", "left")
     if cutoff < 1:
         last = rows.where("sure is null and winners is null and key <> ''").select("key").distinct()
-        close = closest(last, sorted(r["key"] for r in exact.select("key").collect()), cutoff, "key")
+        close = closest(last.withColumnRenamed("key", "name"), exact.select("key"), cutoff).withColumnRenamed("name", "key").where("close is not null")
         close = close.join(exact.select(F.col("key").alias("close"), F.col("by_key").alias("by_close")), "close").select("key", "by_close")
         rows = rows.join(close, "key", "left")
     else:
@@ -157,6 +180,11 @@ def canonical_names(names: DataFrame, groups: DataFrame, terms: DataFrame, cutof
     return rows.select("name", F.coalesce("sure", guess).alias("canonical"))
 
 
+def first_canonical(final: Column, candidate: Column, legend: Column) -> Column:
+    """The canonical name of a result: of its final class, else the database's candidate, else the legend's name."""
+    return F.coalesce(final, candidate, legend)
+
+
 def resolved(canonical: Column, name: Column) -> Column:
     return F.coalesce(canonical, F.nullif(name_key(name), F.lit("")))
 

@@ -11,6 +11,7 @@ from cartolink.sources.files import collect_names, reported_angle
 from cartolink.sources.sinks import report_lines
 
 from .registry import query
+from .search import CASCADE_STAGES
 from .views import TIES, decisions, table
 
 
@@ -163,12 +164,17 @@ def letter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.agg(F.count("*").alias("words"), F.count_if(is_word(F.col("p_name"))).alias("real"), F.sum(letters(F.col("p_name"))).alias("letters"))
 
 
-@query()
+@query("SELECT vec_id, label FROM embeddings ORDER BY md5('7-' || vec_id), vec_id LIMIT 100")
 def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.seeded_sample(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id", 100)
 
 
-@query()
+@query(f"""WITH x AS ({CASCADE_STAGES})
+SELECT concat_ws('-', {", ".join(TIES[:4])}) AS key,
+  concat_ws(chr(10), 'known: ' || coalesce(db_class, '-') || ' (nearest ' || coalesce(nearest_name, '-') || ', ' || coalesce(nearest_bits::VARCHAR, '-') || ' bits)',
+    'legend: ' || coalesce(legend_name, '-') || ' score ' || printf('%.3f', ls) || ' margin ' || printf('%.3f', lm),
+    'related: ' || coalesce(sem_name, '-') || ' (' || coalesce(relation, '-') || ')',
+    'FINAL: ' || final_class || ' by ' || coalesce(match_method, '-')) AS report FROM x""")
 def stage_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_lines(decide.decide_class(decisions(spark, sf_dir)).withColumn("key", F.concat_ws("-", *TIES[:4])))
 

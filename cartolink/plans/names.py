@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartolink.functions import text as tx
+from cartolink.operators import curation
 from cartolink.operators import taxonomy as tax
 
 from .registry import query
@@ -201,8 +202,22 @@ def canonical_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def fuzzy_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "part").select("p_name").distinct()
-    keys = sorted(r[0] for r in names.collect())
-    return tax.closest(names.select(F.concat(F.expr("substr(p_name, 2)"), F.lit("e")).alias("name")), keys, 0.6)
+    return tax.closest(names.select(F.concat(F.expr("substr(p_name, 2)"), F.lit("e")).alias("name")), names.select(F.col("p_name").alias("key")), 0.6)
+
+
+@query()
+def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    files = part.selectExpr("p_partkey", "case p_partkey % 3 when 0 then concat(p_name, '_png.rf.', md5(p_name), '.png') when 1 then concat(substr(p_name, 3), '.png') else concat(p_brand, ' ', p_size, p_partkey, '.jpeg') end file")
+    return curation.clean_names(files, part.selectExpr("replace(p_name, ' ', '_') || '.png' as key").distinct(), "file")
+
+
+@query("""WITH x AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'g' || (o_custkey % 4) END AS final, CASE WHEN o_orderkey % 2 = 0 THEN 'g' || (o_custkey % 5) END AS candidate, 'g' || (o_custkey % 7) AS legend FROM orders)
+SELECT o_orderkey, coalesce(final, candidate, legend) AS canonical FROM x""")
+def final_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "case when o_orderkey % 3 = 0 then concat('g', o_custkey % 4) end final", "case when o_orderkey % 2 = 0 then concat('g', o_custkey % 5) end candidate", "concat('g', o_custkey % 7) legend")
+    return x.select("o_orderkey", tax.first_canonical(F.col("final"), F.col("candidate"), F.col("legend")).alias("canonical"))
 
 
 @query(f"""WITH r AS (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from .views import DECISIONS, TIES, decisions, table
 FLOOR, MARGIN, K, HASH_SHARE = 0.30, 0.02, 24, 0.2
 # Scores are shown doubled: a mean of two six-digit scores has seven digits, its double six.
 CUTOFFS = (0, 10, 20, 40)
+#: The queries of a search; all rows are searched.
+QUERIES_ARE = "vec_id % 50 = 0"
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,9 +26,9 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _short(spark: SparkSession, sf_dir: str, k: int = K) -> DataFrame:
-    """Leave-one-out shortlist.  Only ids, groups and hashes meet; vectors join after the cut."""
+    """Shortlist of every 50th row among all others.  Only ids, groups and hashes meet; vectors join after the cut."""
     v = _vectors(spark, sf_dir)
-    q = v.selectExpr("vec_id q_id", "bits q_bits", "grp q_grp")
+    q = v.where(QUERIES_ARE).selectExpr("vec_id q_id", "bits q_bits", "grp q_grp")
     d = v.selectExpr("vec_id d_id", "bits d_bits", "grp")
     return retrieval.shortlist(q, d, hamming_word(F.col("q_bits"), F.col("d_bits")), k, skip=F.col("q_id") == F.col("d_id"))
 
@@ -44,7 +47,7 @@ V = """v AS (
 b AS (SELECT vec_id, embedding, grp, (CASE WHEN big >= 9223372036854775808::HUGEINT THEN big - 18446744073709551616::HUGEINT ELSE big END)::BIGINT AS bits FROM v),
 p AS (
   SELECT q.vec_id AS q_id, q.grp AS q_grp, d.vec_id AS d_id, d.grp, bit_count(xor(q.bits, d.bits))::INT AS distance, q.embedding AS qe, d.embedding AS de
-  FROM b q JOIN b d ON q.vec_id <> d.vec_id),
+  FROM b q JOIN b d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
 s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY distance, d_id) AS rank FROM p) WHERE rank <= 24)"""
 SCORED = f"""{V},
 c AS (
@@ -62,6 +65,93 @@ i AS (
   SELECT *, CASE WHEN score < 0.30 THEN 'below floor' WHEN second IS NOT NULL AND score - second < 0.02 THEN 'below margin' END AS rejected FROM g)"""
 
 
+LEVELS = (0.0, 0.5, -0.5, 1.0)
+
+
+def three_hashes(vectors: DataFrame) -> DataFrame:
+    """Three 256-bit hashes of a vector of 64: elements against levels, against later elements, against the mean and levels."""
+    x = F.transform("embedding", lambda v: v.cast("double"))
+    mean = F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / F.size("embedding")
+    word = lambda on: F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.when(on(i), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, b: s.bitwiseOR(b))
+    hashes = {
+        "phash": [word(lambda i, t=t: F.get("x", i) > t) for t in LEVELS],
+        "dhash": [word(lambda i, k=k: F.get("x", (i + k + 1) % 64) > F.get("x", i)) for k in range(4)],
+        "ahash": [word(lambda i, t=t: F.get("x", i) > F.col("mean") + t) for t in LEVELS],
+    }
+    return vectors.withColumn("x", x).withColumn("mean", mean).withColumns({k: F.array(*v) for k, v in hashes.items()}).drop("x", "mean")
+
+
+def _cosines(vectors: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Adds the parts of a score to pairs: the vectors' cosine stands for the template, and no descriptor is there."""
+
+    def score(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(vectors.selectExpr("vec_id q_id", "embedding q_vec"), "q_id").join(vectors.selectExpr("vec_id d_id", "embedding d_vec"), "d_id")
+        return both.withColumn("template", F.round(cosine(F.col("q_vec"), F.col("d_vec")), 6)).withColumn("descriptor", F.lit(None).cast("double")).drop("q_vec", "d_vec")
+
+    return score
+
+
+def _bit_text(condition: str) -> str:
+    return f"array_to_string([CASE WHEN {condition} THEN '1' ELSE '0' END FOR i IN range(256)], '')::BIT"
+
+
+LEVEL = f"({list(LEVELS)}::DOUBLE[])[(i // 64) + 1]"
+HASHED = f"""u AS (SELECT vec_id, label::VARCHAR AS grp, embedding, embedding::DOUBLE[] AS x, list_sum(embedding::DOUBLE[]) / 64 AS mean FROM embeddings),
+h AS (
+  SELECT vec_id, grp, embedding, {_bit_text(f"x[(i % 64) + 1] > {LEVEL}")} AS ph, {_bit_text("x[((i % 64 + i // 64 + 1) % 64) + 1] > x[(i % 64) + 1]")} AS dh,
+    {_bit_text(f"x[(i % 64) + 1] > mean + {LEVEL}")} AS ah FROM u)"""
+
+
+@query(f"""WITH {HASHED}, p AS (
+  SELECT q.vec_id AS q_id, d.vec_id AS d_id, d.grp, d.vec_id::VARCHAR AS name, bit_count(xor(q.ph, d.ph)) AS bits, q.embedding AS qe, d.embedding AS de,
+    1 - (0.55::DOUBLE * bit_count(xor(q.ph, d.ph)) / 256 + 0.30::DOUBLE * bit_count(xor(q.dh, d.dh)) / 256 + 0.15::DOUBLE * bit_count(xor(q.ah, d.ah)) / 256) / (0.55::DOUBLE + 0.30::DOUBLE + 0.15::DOUBLE) AS sim
+  FROM h q JOIN h d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+s AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY sim DESC, d_id) AS place FROM p),
+c AS (SELECT q_id, grp, name, round(0.8::DOUBLE * (0.75::DOUBLE * round(list_cosine_similarity(qe::DOUBLE[], de::DOUBLE[]), 6) / 0.75::DOUBLE) + 0.2::DOUBLE * sim, 6) AS score FROM s WHERE place <= 24),
+n AS (SELECT *, row_number() OVER (PARTITION BY q_id, grp ORDER BY score DESC, name DESC) AS n FROM c),
+t AS (SELECT q_id, grp, avg(score) FILTER (n <= 2) AS score, max(name) FILTER (n = 1) AS name, count(*) AS votes FROM n GROUP BY q_id, grp),
+r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, grp) AS rank FROM t),
+g AS (SELECT q_id, max(grp) FILTER (rank = 1) AS grp, max(name) FILTER (rank = 1) AS name, max(score) FILTER (rank = 1) AS score,
+  max(votes) FILTER (rank = 1) AS votes, max(score) FILTER (rank = 2) AS second FROM r GROUP BY q_id)
+SELECT g.q_id, g.grp, g.name, round(g.score * 2, 6) AS score_x2, g.votes,
+  CASE WHEN g.score < 0.30 THEN 'below floor' WHEN second IS NOT NULL AND g.score - second < 0.02 THEN 'below margin' END AS rejected,
+  s.name AS nearest_name, s.bits::INT AS nearest_bits, 'glyph' AS method FROM g JOIN s ON s.q_id = g.q_id AND s.place = 1""")
+def full_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = table(spark, sf_dir, "embeddings")
+    h = three_hashes(v).select("vec_id", F.col("label").cast("string").alias("grp"), *retrieval.KINDS)
+    q = h.where(QUERIES_ARE).selectExpr("vec_id q_id", "phash q_phash", "dhash q_dhash", "ahash q_ahash")
+    d = h.selectExpr("vec_id d_id", "grp", "cast(vec_id as string) name", "phash", "dhash", "ahash")
+    out = retrieval.lookup(q, d, _cosines(v), FLOOR, MARGIN, K, HASH_SHARE, skip=F.col("q_id") == F.col("d_id"))
+    return out.select("q_id", "grp", "name", F.round(F.col("score") * 2, 6).alias("score_x2"), "votes", "rejected", "nearest_name", "nearest_bits", "method")
+
+
+RANKED = f"""{HASHED}, k AS (
+  SELECT q.vec_id // 50 AS map, q.vec_id AS q_id, d.vec_id AS d_id, 'class ' || d.grp AS name, bit_count(xor(q.ph, d.ph))::INT AS bits,
+    round(0.75::DOUBLE * round(list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 6) / 0.75::DOUBLE, 6) AS score
+  FROM h q JOIN h d ON q.vec_id // 50 = d.vec_id // 50 AND q.vec_id % 7 <> 0 AND d.vec_id % 7 = 0),
+r AS (
+  SELECT *, row_number() OVER w AS rank, lead(score) OVER w AS second FROM k WINDOW w AS (PARTITION BY map, q_id ORDER BY score DESC, bits, d_id))"""
+
+
+def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = table(spark, sf_dir, "embeddings")
+    h = three_hashes(v).select("vec_id", F.expr("vec_id div 50").alias("map"), F.concat(F.lit("class "), "label").alias("name"), "phash")
+    q = h.where("vec_id % 7 <> 0").selectExpr("map", "vec_id q_id", "phash q_phash")
+    return retrieval.rank_legend(q, h.where("vec_id % 7 = 0").selectExpr("map", "vec_id d_id", "name", "phash"), "map", _cosines(v))
+
+
+@query(f"WITH {RANKED} SELECT map, q_id, d_id, name, bits, score, rank FROM r")
+def legend_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranked(spark, sf_dir).select("map", "q_id", "d_id", "name", "bits", "score", "rank")
+
+
+@query(f"""WITH {RANKED}, x AS (
+  SELECT map, q_id, name, CASE WHEN score < 0.1 THEN 'below floor' WHEN second IS NOT NULL AND score - second < 0.05::DOUBLE THEN 'below margin' END AS rejected FROM r WHERE rank = 1)
+SELECT map, q_id, rejected, CASE WHEN rejected IS NULL THEN name END AS class_name FROM x""")
+def raw_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.sorted_in(_ranked(spark, sf_dir), 0.1, 0.05).select("map", "q_id", "rejected", "class_name")
+
+
 def _identified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.decide(retrieval.vote(_scored(spark, sf_dir)), FLOOR, MARGIN)
 
@@ -104,7 +194,7 @@ def bench_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {V} SELECT q_id, d_id, distance FROM p WHERE distance <= 18")
 def hamming_radius_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _vectors(spark, sf_dir)
-    pairs = retrieval.hash_join(v.selectExpr("vec_id q_id", "bits q_bits"), v.selectExpr("vec_id d_id", "bits d_bits"), 18)
+    pairs = retrieval.hash_join(v.where(QUERIES_ARE).selectExpr("vec_id q_id", "bits q_bits"), v.selectExpr("vec_id d_id", "bits d_bits"), 18)
     return pairs.where("q_id <> d_id").select("q_id", "d_id", "distance")
 
 
@@ -171,7 +261,7 @@ def semantic_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decide.semantic_row(x, ["key"])
 
 
-def _cascade(naming: str) -> str:
+def _cascade(naming: str, columns: str = ", ".join(TIES)) -> str:
     pick = {"legend": "coalesce({l}, {k})", "db": "coalesce({k}, {l})"}[naming]
     lab = lambda l, k: pick.format(l=f"nullif(trim({l}), '')", k=f"nullif(trim({k}), '')")  # noqa: E731, E741
     return f"""WITH {DECISIONS},
@@ -186,7 +276,7 @@ e AS (SELECT *, CASE WHEN relation_rejected IS NULL THEN found_relation END AS r
 f AS (
   SELECT *, db_class IS NULL AND coalesce(relation = 'same', false) AND NOT wins AND coalesce(sem_score >= 0.35 AND nearest_bits <= 40, false) AS rescued,
     coalesce(relation = 'same', false) AND coalesce(sem_name = legend_name, false) AS agrees FROM e)
-SELECT {", ".join(TIES)}, relation, relation_rejected, rescued,
+SELECT {columns}, relation, relation_rejected, rescued,
   CASE WHEN db_class IS NOT NULL AND relation IS NOT NULL THEN {lab("sem_name", "db_class")} WHEN db_class IS NOT NULL THEN db_class
     WHEN wins AND agrees THEN {lab("legend_name", "nearest_name")} WHEN wins THEN legend_name
     WHEN rescued THEN {lab("sem_name", "nearest_name")} ELSE original_class END AS final_class,
@@ -195,6 +285,8 @@ SELECT {", ".join(TIES)}, relation, relation_rejected, rescued,
 FROM f"""
 
 
+#: The cascade with what a report of its stages shows.
+CASCADE_STAGES = _cascade("legend", ", ".join([*TIES, "db_class", "nearest_name", "nearest_bits", "legend_name", "ls", "lm", "sem_name"]))
 OUT = [*TIES, "relation", "relation_rejected", "rescued", "final_class", "match_method"]
 
 

@@ -27,6 +27,18 @@ def write_reports(df: DataFrame, path: str) -> None:
     df.select("name", F.col("report").alias("value")).write.mode("overwrite").partitionBy("name").text(path)
 
 
+#: The files of a taxonomy.
+TAXONOMY = ("icon_class_synonyms", "class_to_canonical", "canonical_to_classes", "search_index", "icon_class_related", "icon_class_neighbors")
+
+
+def write_taxonomy(tables: dict[str, DataFrame], path: str) -> None:
+    """The tables of a taxonomy, a folder each below ``path``; all six names have to be there."""
+    if missing := set(TAXONOMY) - set(tables):
+        raise ValueError(f"no table for {sorted(missing)}")
+    for name in TAXONOMY:
+        write_json(tables[name], f"{path}/{name}", one_file=True)
+
+
 def apply_plan(plan: DataFrame, transfer) -> None:
     """Call ``transfer(src, final)`` for every row, in the tasks.  A lost task is run again: it must be idempotent."""
 

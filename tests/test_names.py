@@ -1,3 +1,6 @@
+import difflib
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +122,25 @@ def test_plans(spark):
     assert {r[0] for r in curation.empty_folders(folders, files).collect()} == {"a/b", "c"}
     turns = spark.createDataFrame([("m", 0, 1.0), ("m", 90, 2.0), ("n", 0, 2.0), ("n", 180, 2.5), ("o", 270, 0.5)], "image_id string, angle int, score double")
     assert dict(map(tuple, curation.best_rotation(turns).collect())) == {"m": 90, "n": 0, "o": 0}
+
+
+def test_closest_agrees_with_difflib(spark):
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcde ") for _ in range(rng.randint(1, 9))).strip() or "a"
+    keys, names = sorted({word() for _ in range(60)}), [word() for _ in range(80)] + ["", None]
+    rows = spark.createDataFrame([(n,) for n in names], "name string")
+    for cutoff in (0.6, 0.88):
+        got = {r["name"]: r["close"] for r in tax.closest(rows, spark.createDataFrame([(k,) for k in keys], "key string"), cutoff).collect()}
+        assert got == {n: (next(iter(difflib.get_close_matches(n, keys, 1, cutoff)), None) if n else None) for n in names}
+
+
+def test_clean_names(spark):
+    files = ["Picnic Area_png.rf.0a1b.png", "Picnc Area.png", "zzz.jpeg", "no dot"]
+    known = spark.createDataFrame([("Picnic_Area.png",), ("Other.png",)], "key string")
+    got = {r["file"]: (r["clean"], r["status"]) for r in curation.clean_names(spark.createDataFrame([(f,) for f in files], "file string"), known, "file").collect()}
+    assert got == {files[0]: ("Picnic_Area.png", "exact"), files[1]: ("Picnic_Area.png", "fuzzy"), files[2]: ("zzz.jpeg", "none"), files[3]: ("no_dot", "none")}
+
+
+def test_reason_counts(spark):
+    rows = spark.createDataFrame([("below floor 0.51",), ("below floor 0.2",), ("below margin",), (None,)], "rejected string")
+    assert {(r["cause"], r["n"]) for r in curation.reason_counts(rows).collect()} == {("below floor", 2), ("below margin", 1)}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartolink.functions import images
-from cartolink.operators import decide
+from cartolink.operators import decide, retrieval
 from cartolink.plans import QUERIES
 from cartolink.sources import files, sinks
 from cartolink.streaming.watch import process_new
@@ -161,3 +161,26 @@ def test_plans(spark, tmp_path):
     spark.range(3).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality")).write.parquet(f"{tmp_path}/labels.parquet")
     read = QUERIES["left_to_do"](spark, str(tmp_path))._jdf.queryExecution().toString()
     assert "LeftAnti" in read and "ReadSchema: struct<doc_id:bigint,source:string>" in read
+
+
+def test_glyph_lookup_finds_worse_copies(spark):
+    rng = np.random.default_rng(6)
+    pictures = [resized_noise(rng) for _ in range(12)]
+    exemplars = spark.createDataFrame([(k, f"g{k}", f"n{k}", bytearray(p.tobytes())) for k, p in enumerate(pictures)], "d_id long, grp string, name string, glyph binary")
+    queries = spark.createDataFrame([(k, bytearray(images.degrade(pictures[k], k, 3.0).tobytes())) for k in (2, 7, 9)], "q_id long, q_glyph binary")
+    hashes = lambda df, col, prefix: df.withColumn("h", images.glyph_hashes(col)).select("*", *[F.col(f"h.{c}").alias(f"{prefix}{c}") for c in retrieval.KINDS]).drop("h")
+
+    def score(pairs):
+        both = pairs.join(queries, "q_id").join(exemplars.select("d_id", "glyph"), "d_id")
+        return both.withColumn("template", images.glyph_score("q_glyph", "glyph")).withColumn("descriptor", F.lit(None).cast("double"))
+
+    got = retrieval.lookup(hashes(queries, "q_glyph", "q_").drop("q_glyph"), hashes(exemplars, "glyph", "").drop("glyph"), score, 0.6, 0.06, k=5).collect()
+    assert {(r["q_id"], r["grp"], r["nearest_name"], r["rejected"]) for r in got} == {(k, f"g{k}", f"n{k}", None) for k in (2, 7, 9)}
+
+
+def test_taxonomy_files(spark, tmp_path):
+    tables = {name: spark.createDataFrame([(name,)], "key string") for name in sinks.TAXONOMY}
+    sinks.write_taxonomy(tables, str(tmp_path / "tax"))
+    assert spark.read.json(f"{tmp_path}/tax/search_index").first()["key"] == "search_index"
+    with pytest.raises(ValueError):
+        sinks.write_taxonomy({}, str(tmp_path / "none"))
