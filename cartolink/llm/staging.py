@@ -47,6 +47,23 @@ def work(key: Hashable) -> Iterator[None]:
         _work.reset(token)
 
 
+#: Rows in a batch that goes to a Python worker, where whole texts or sets are in a row.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MOST_ROWS = 1_000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of ``MOST_ROWS`` at most, so that what tasks and workers hold is bounded; as it was afterwards."""
+    was = spark.conf.get(BATCH_ROWS, "10000")
+    if not 0 < int(was) <= MOST_ROWS:
+        spark.conf.set(BATCH_ROWS, str(MOST_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, was)
+
+
 def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
@@ -56,7 +73,8 @@ def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     if not keep and _work.get() is not None:
         _passing[_work.get()].append(path)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
