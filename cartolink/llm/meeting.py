@@ -266,7 +266,7 @@ def compared(rows: DataFrame, content: DataFrame, sets_of: Callable, num: int, d
             yield pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
 
     # Merged at any size: broadcasting rows where they are few would be another plan at small sizes.
-    both = rows.distinct().hint("merge").join(content.select("node", "x"), "node").select(*GROUP, "node", "root", "lead", "side", "x")
+    both = rows.hint("merge").join(content.select("node", "x"), "node").select(*GROUP, "node", "root", "lead", "side", "x")
     return gathered(both).mapInPandas(run, "a long, b long")
 
 
@@ -296,19 +296,32 @@ def unpacked(x: list[bytes]) -> list[np.ndarray]:
 def alive(rows: DataFrame, content: DataFrame, num: int, den: int) -> DataFrame:
     """The ``rows`` (g, i, j, node, root, lead, side) that could link with one of another root in their group.
 
-    Only sketches travel here, so sets are sent for these rows alone.
+    Only sketches travel here, so sets are sent for these rows alone.  Rows that possible links connect
+    become a group of their own, named by a hash of its members: what many buckets say is said once.
     """
 
     @tidied
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in whole_groups(batches):
-            keep = np.zeros(len(part), bool)
-            sizes, roots, side, sk = (part[c].to_numpy() for c in ("n", "root", "side", "sk"))
+            keep, group = np.zeros(len(part), bool), np.zeros(len(part), np.int64)
+            sizes, roots, side, sk, nodes = (part[c].to_numpy() for c in ("n", "root", "side", "sk", "node"))
+            named = mixed(mixed(nodes.astype(np.int64).view(np.uint64)) + side.astype(np.uint64))
             for s, e, cross in groups_of(part):
                 mask = may_link(sizes[s:e], folded(sk[s:e].tolist()), num, den) & (roots[s:e, None] != roots[s:e])
                 if cross:
                     mask &= side[s:e, None] != side[s:e]
-                keep[s:e] = mask.any(1)
+                live = np.flatnonzero(mask.any(1))
+                if not len(live):
+                    continue
+                mask, label, was = mask[np.ix_(live, live)], np.arange(len(live)), None
+                while was is None or (label != was).any():
+                    was = label
+                    label = np.minimum(label, np.where(mask, label, len(live)).min(1))
+                for one in np.unique(label).tolist():
+                    at = s + live[label == one]
+                    group[at] = mixed(np.bitwise_xor.reduce(named[at], keepdims=True) + np.uint64(2 * len(at) + cross)).view(np.int64)[0]
+                keep[s + live] = True
+            part = part.assign(g=group, j=(part["i"] != part["j"]).astype(np.int32), i=np.int32(0))
             yield part.loc[keep, names]
 
     names = [*GROUP, "node", "root", "lead", "side"]
@@ -346,7 +359,7 @@ def linked_up(buckets: DataFrame, contents: Callable[[DataFrame], DataFrame], se
     apart = placed.join(open_, "bucket").withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
     apart = apart.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     apart = apart.select(F.col("bucket").alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", F.lit(False).alias("lead"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    apart = staged(alive(apart, content, num, den), "mt-alive")
+    apart = staged(alive(apart, content, num, den).distinct(), "mt-alive")
     some = staged(apart.select("node", F.xxhash64("node").alias("key")).distinct(), "mt-some")
     content = content.where(Sieve(some, "key").may(F.xxhash64("node")))
     more = staged(compared(apart, content, sets_of, num, den), "mt-links")
