@@ -259,6 +259,34 @@ def test_line_dedup_compares_all_candidates(spark):
     assert left == {find(i) for i in range(len(lines))}
 
 
+def test_line_dedup_recall(spark):
+    """Chains of lines of which only neighbours are alike: nothing that shares a band is lost, and 9 in 10 merges at least are made."""
+    rng, rows = random.Random(3), []
+    for _ in range(60):
+        line = "".join(rng.choice("abcdefghijklmnop ") for _ in range(160))
+        for _ in range(10):
+            rows.append((len(rows), line, None))
+            for at in rng.sample(range(len(line)), 2):
+                line = line[:at] + rng.choice("QRSTUVW") + line[at + 1 :]
+    kept = sum(bool(t) for t in brute_lines(rows).values())
+    sets, keys = [shingles(t) for _, t, _ in rows], fuzzy_lines.bands([t for _, t, _ in rows])
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if (keys[i] == keys[j]).any() and 100 * (both := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - both):
+            i, j = sorted((find(i), find(j)))
+            root[j] = i
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = {r["doc_id"] for r in fuzzy_lines.report(df).where("n_removed = 0").collect()}
+    assert left == {find(i) for i in range(len(rows))}
+    assert len(rows) - len(left) >= 0.9 * (len(rows) - kept) > 300
+
+
 def test_language_scores(spark, odd):
     rows = local(odd)
     got = {(r["doc_id"], r["n_tokens"], round(r["base_score"], 6)): r for r in brown.language_scores(odd).collect()}
