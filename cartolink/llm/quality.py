@@ -3,8 +3,9 @@
 A linear score is fitted so that the non-negative unbiased risk
 ``p E+[l(g)] + max(0, Eu[l(-g)] - p E+[l(-g)])`` is least: trusted positives are
 the labelled good documents, the unlabelled ones are web text of either kind, and
-``p``, the share of good documents, is estimated from the labelled rows that the
-fit may see.  With the logistic loss the score is a probability.
+``p``, the share of good documents, is estimated from these two samples alone
+(``class_prior``); rows labelled bad are not used as such.  With the logistic loss
+the score is a probability.
 
 Features come from the text alone: how often each pair of neighbouring character
 kinds occurs, and how much of the text repeats itself.  Their number is fixed.
@@ -12,13 +13,13 @@ The fit sees a sample of rows bounded by ``FIT_ROWS``; scoring covers all texts.
 
 Null and empty texts have the features of an empty text and get a score as all
 others.  With no positives or nothing unlabelled to learn from, every score is
-the prior (0.5 if there are no labels).  Equal or null ids are scored row by row;
-null labels are not used.
+the prior (0.5 if none is given).  Equal or null ids are scored row by row; rows
+of equal ids are drawn together; null labels are not used.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from operator import eq
 
 import numpy as np
@@ -73,30 +74,18 @@ class Model:
         self.weights, self.bias, self.mean, self.scale = weights, bias, mean, scale
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return _sigmoid(np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights + self.bias)
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, steps: int = 250, rate: float = 0.05, decay: float = 1e-3) -> Model:
-    """Adam on the non-negative risk; the gradient turns where the negative part drops under 0."""
-    if not len(positive) or not len(unlabelled):
-        p = min(max(prior, 1e-6), 1 - 1e-6)
-        return Model(np.zeros(FEATURES), float(np.log(p / (1 - p))), np.zeros(FEATURES), np.ones(FEATURES))
+def _learn(positive: np.ndarray, unlabelled: np.ndarray, slopes: Callable, start: float, *, steps: int, rate: float, decay: float) -> Model:
+    """Adam; ``slopes`` takes the outputs for both samples to the risk's slopes by them."""
     both = np.concatenate([positive, unlabelled]).astype(np.float32)
     mean, scale = both.mean(0), both.std(0) + 1e-3
     a, u = (np.clip((x - mean) / scale, -8, 8) for x in (positive, unlabelled))
-    w, b = np.zeros(a.shape[1], np.float32), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
+    w, b = np.zeros(a.shape[1], np.float32), start
     m, v = np.zeros((2, len(w) + 1), np.float32)
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for t in range(1, steps + 1):
-        ga, gu = a @ w + b, u @ w + b
-        negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, ga).mean()
-        da, du = prior * -sigmoid(-ga) / len(a), np.zeros_like(gu)
-        down_a, down_u = -prior * sigmoid(ga) / len(a), sigmoid(gu) / len(u)
-        if negative >= 0:
-            da, du = da + down_a, down_u
-        else:
-            da, du = -down_a, -down_u
+        da, du = slopes(a @ w + b, u @ w + b)
         g = np.append(a.T @ da.astype(np.float32) + u.T @ du.astype(np.float32) + decay * w, np.float32(da.sum() + du.sum()))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -104,6 +93,53 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, steps: in
     return Model(w, b, mean, scale)
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, steps: int = 250, rate: float = 0.05, decay: float = 1e-3) -> Model:
+    """The least non-negative risk; the gradient turns where the negative part drops under 0."""
+    p = min(max(prior, 1e-6), 1 - 1e-6)
+    start = float(np.log(p / (1 - p)))
+    if not len(positive) or not len(unlabelled):
+        return Model(np.zeros(FEATURES), start, np.zeros(FEATURES), np.ones(FEATURES))
+
+    def slopes(ga: np.ndarray, gu: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        down_a, down_u = -p * _sigmoid(ga) / len(ga), _sigmoid(gu) / len(gu)
+        if np.logaddexp(0, gu).mean() >= p * np.logaddexp(0, ga).mean():
+            return p * -_sigmoid(-ga) / len(ga) + down_a, down_u
+        return -down_a, -down_u
+
+    return _learn(positive, unlabelled, slopes, start, steps=steps, rate=rate, decay=decay)
+
+
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, *, delta: float = 0.1) -> float:
+    """The share of positives among ``unlabelled``, from the two samples.
+
+    A classifier tells one half of each sample apart; on the other halves, and for
+    every cut of its score, the unlabelled share above the cut over the positive
+    share above it is the prior or more, and comes to it where nothing but positives
+    lies above.  The cut is the one with the least upper confidence bound of that
+    ratio, and the halves change places.  0.5 where a sample has fewer than two rows.
+    """
+    if min(len(positive), len(unlabelled)) < 2:
+        return 0.5
+
+    def slopes(ga: np.ndarray, gu: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return -_sigmoid(-ga) / (2 * len(ga)), _sigmoid(gu) / (2 * len(gu))
+
+    found = []
+    for k in (0, 1):
+        model = _learn(positive[k::2], unlabelled[k::2], slopes, 0.0, steps=150, rate=0.05, decay=1e-2)
+        a, u = (np.sort(model.score(x[1 - k :: 2])) for x in (positive, unlabelled))
+        cuts = np.unique(a)
+        above_a, above_u = (1 - np.searchsorted(x, cuts) / len(x) for x in (a, u))
+        doubt = sum(np.sqrt(np.log(4 / delta) / (2 * len(x))) for x in (a, u))
+        best = np.argmin((above_u + doubt) / above_a)
+        found.append(min(float(above_u[best] / above_a[best]), 1.0))
+    return sum(found) / 2
+
+
 def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         yield pd.DataFrame({"positive": batch["positive"], "x": [features(t) for t in batch["text"]]})
@@ -114,13 +150,10 @@ def fold(doc_id: Column, n: int) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
-    """Learn from rows outside the held-out fold.  Reads the texts once."""
+    """Learn from rows outside the held-out fold.  Reads the texts once.  The prior is estimated unless given."""
     known = labels.where(F.col("quality").isNotNull() & (fold(F.col("doc_id"), 5) != 0))
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    total, good = known.agg(F.count("*"), F.sum("quality")).first()
-    good = good or 0
-    if prior is None:
-        prior = good / total if total else 0.5
+    good = known.agg(F.sum("quality")).first()[0] or 0
     rows = docs.select("doc_id", "text").where(fold(F.col("doc_id"), 5) != 0)
     plenty = rows.count()
     # The same rows at every run: a part of the hash's range.
@@ -135,7 +168,8 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     got = rows.mapInPandas(_vectors, "positive boolean, x array<float>").toArrow()
     x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, FEATURES)
     is_positive = got["positive"].to_numpy().astype(bool)
-    return fit(x[is_positive], x[~is_positive], prior)
+    positive, unlabelled = x[is_positive], x[~is_positive]
+    return fit(positive, unlabelled, class_prior(positive, unlabelled) if prior is None else prior)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -311,3 +311,33 @@ def test_quality_learns_from_positives_and_unlabelled():
     assert (score(good[200:]) > 0.5).mean() > 0.95 and (score(junk[50:]) < 0.3).mean() > 0.95
     assert 0 <= score([""])[0] <= 1 and 0 <= score([None])[0] <= 1
     assert quality.fit(pos[:0], web, 0.5).score(web).tolist() == [0.5] * len(web)
+
+
+@pytest.mark.parametrize("share", [0.2, 0.6, 0.9, 1.0])
+def test_quality_estimates_the_prior(share):
+    rng = random.Random(3)
+    prose = lambda: " ".join("".join(rng.choice("aeilnorst") for _ in range(rng.randint(2, 8))) for _ in range(40)) + "."
+    pos = np.stack([quality.features(prose()) for _ in range(400)])
+    web = [prose() if rng.random() < share else prose().upper().replace(" ", "!! ") for _ in range(800)]
+    true = sum(t.islower() for t in web) / len(web)
+    found = quality.class_prior(pos, np.stack([quality.features(t) for t in web]))
+    assert abs(found - true) < 0.08
+    assert quality.class_prior(pos[:1], pos) == quality.class_prior(pos, pos[:0]) == 0.5
+
+
+def test_quality_risk_falls_along_the_gradient():
+    """The fitted risk, computed a second way, is near the least that small moves of its weights find."""
+    rng = np.random.default_rng(4)
+    pos, web = rng.normal(0.6, 1, (200, quality.FEATURES)), rng.normal(0, 1, (300, quality.FEATURES))
+    pos[:, 5:], web[:, 5:] = 0, 0
+    model = quality.fit(pos, web, 0.4, steps=2000, decay=0.0)
+    loss = lambda z: np.log1p(np.exp(-z))
+
+    def risk(weights, bias):
+        a, u = (np.clip((x - model.mean) / model.scale, -8, 8) @ weights + bias for x in (pos, web))
+        return 0.4 * loss(a).mean() + max(0.0, loss(-u).mean() - 0.4 * loss(-a).mean())
+
+    least = risk(model.weights, model.bias)
+    for _ in range(50):
+        move = rng.normal(0, 0.1, quality.FEATURES)
+        assert risk(model.weights + move, model.bias + float(rng.normal(0, 0.1))) > least - 1e-4
