@@ -11,8 +11,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
-#: Codes: ASCII as it is, all other characters 128; 0 pads.
-SYMBOLS = 129
+#: Codes: ASCII as it is, all other characters 128; a line break pads.
+SYMBOLS, BREAK = 129, 10
 
 
 def codes(text: str) -> np.ndarray:
@@ -32,7 +32,7 @@ def _slope(gate: np.ndarray) -> np.ndarray:
 @dataclass
 class Tagger:
     tags: int
-    hidden: int = 8
+    hidden: int = 12
     seed: int = 11
     p: dict[str, np.ndarray] = field(default_factory=dict)
 
@@ -180,7 +180,7 @@ class Reader:
         for t, n in zip(texts, counts, strict=True):
             if not n:
                 continue
-            padded = np.zeros(n * core + 2 * margin, np.uint8)
+            padded = np.full(n * core + 2 * margin, BREAK, np.uint8)
             padded[margin : margin + len(t)] = t
             windows[at : at + n] = np.lib.stride_tricks.sliding_window_view(padded, core + 2 * margin)[::core]
             at += n
@@ -198,29 +198,33 @@ class Reader:
             at += n * core
         return out
 
-    def spans(self, emissions: list[np.ndarray], pad: int = 24) -> list[list[tuple[int, int, int, float]]]:
+    def spans(self, emissions: list[np.ndarray], gap: int = 48) -> list[list[tuple[int, int, int, float]]]:
         """(start, end, tag, mean lead over no tag) by the best path over each text's windows joined.
 
-        Where no tag can pay for the moves into and out of it, the best path has
-        none; only the stretches around other places are decoded.
+        Before and after a text there is no tag.  A place is idle if its best tag trails
+        no tag by more than the moves can make up for, and by ``least`` besides.  The
+        best path begins and ends no span at an idle place, and leaves no tag on ``gap``
+        idle places in a row: carrying a tag over them costs more than ending it and
+        beginning anew.  So only what lies between such gaps is decoded, with no tag
+        on either side, and the path is that over the whole text.
         """
-        # A tagged stretch gains, at each place, at most the tag's lead and ``stay``;
-        # going in and out costs more than it brings, so one place must have a gain.
-        stay = float(self.move[1:, 1:].max() - self.move[0, 0])
-        in_out = float(self.move[0, 1:].max() + self.move[1:, 0].max() - self.move[0, 0] - self.move[1:, 1:].max())
-        stay += max(in_out, 0.0)
+        inside, idle = float(self.move[1:, 1:].max()), float(self.move[0, 0])
+        into, out = self.move[0, 1:], self.move[1:, 0]
+        slack = max(0.0, float(np.ptp(into)), float(np.ptp(out)), float(into.max() + out.max()) - idle - inside)
+        least = max(0.0, inside + idle - float(into.min() + out.min())) / gap
+        makes_up = np.float32(inside - idle + slack + least + 1e-3)
         found: list[list[tuple[int, int, int, float]]] = [[] for _ in emissions]
         stretches = []
         for k, e in enumerate(emissions):
             best = e[1]
             for row in e[2:]:
                 best = np.maximum(best, row)
-            active = np.flatnonzero(best + np.float32(stay) > e[0])
+            active = np.flatnonzero(best + makes_up > e[0])
             if not len(active):
                 continue
-            cuts = np.flatnonzero(np.diff(active) > 2 * pad)
+            cuts = np.flatnonzero(np.diff(active) > gap)
             starts, ends = active[np.append(0, cuts + 1)], active[np.append(cuts, len(active) - 1)]
-            stretches += [(k, max(0, s - pad), min(e.shape[1], t + 1 + pad)) for s, t in zip(starts, ends, strict=True)]
+            stretches += [(k, s, t + 1) for s, t in zip(starts, ends, strict=True)]
         stretches.sort(key=lambda s: s[2] - s[1])
         for i in range(0, len(stretches), 256):
             part = stretches[i : i + 256]
@@ -235,16 +239,16 @@ class Reader:
                 for a, b in zip(edges[:-1], edges[1:], strict=True):
                     if tag := int(path[a]):
                         e = emissions[k][:, s + a : s + b]
-                        found[k].append((s + int(a), s + int(b), tag, float((e[tag] - e[0]).mean())))
+                        found[k].append((int(s + a), int(s + b), tag, float((e[tag] - e[0]).mean())))
         return [sorted(f) for f in found]
 
     def _best(self, e: np.ndarray) -> np.ndarray:
-        score, back = e[0], []
+        score, back = e[0] + self.move[0], []
         for row in e[1:]:
             all_moves = score[:, :, None] + self.move[None]
             back.append(all_moves.argmax(1))
             score = all_moves.max(1) + row
-        path = [score.argmax(1)]
+        path = [(score + self.move[:, 0]).argmax(1)]
         for b in reversed(back):
             path.append(b[np.arange(len(b)), path[-1]])
         return np.array(path[::-1]).T

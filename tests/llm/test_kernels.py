@@ -92,7 +92,7 @@ def test_tagger_gradient():
 
 
 def test_tagger_learns_and_windows_join():
-    reader = pii.trained(2500)
+    reader = pii.trained()
     x, y = pii.labelled(200, seed=77)
     texts = ["".join(map(chr, x[:, k])) for k in range(x.shape[1])]
     got = reader.spans(reader.emissions([x[:, k] for k in range(x.shape[1])]))
@@ -111,6 +111,60 @@ def test_tagger_learns_and_windows_join():
     assert found[0] == found[1] and any(a < 20 < b and tag == 1 for a, b, tag in found[0])
 
 
+def whole_path(e, move):
+    """The best tags of one text: every place decoded, no tag before and after."""
+    score, back = e[:, 0] + move[0], []
+    for k in range(1, e.shape[1]):
+        every = score[:, None] + move
+        back.append(every.argmax(0))
+        score = every.max(0) + e[:, k]
+    path = [int((score + move[:, 0]).argmax())]
+    for b in reversed(back):
+        path.append(int(b[path[-1]]))
+    return path[::-1]
+
+
+@pytest.mark.parametrize("level", [0.0, 1.0, 2.5])
+def test_decoding_between_gaps_is_decoding_all(level):
+    rng = np.random.default_rng(int(level * 10))
+    reader = Tagger(5).ready()
+    crossed = 0
+    for _ in range(60):
+        reader.move = rng.normal(0, 1.2, (5, 5)).astype(np.float32) + np.float32(rng.uniform(0, 2)) * np.eye(5, dtype=np.float32)
+        e = rng.normal(0, 1, (5, 400)).astype(np.float32)
+        e[0] += level * rng.uniform(0.5, 2)
+        for at in rng.integers(0, 380, 4):  # stretches that speak for a tag, or hardly against one
+            e[rng.integers(1, 5), at : at + rng.integers(3, 90)] += level * rng.uniform(0.5, 2)
+        path = whole_path(e.astype(float), reader.move.astype(float))
+        for gap in (6, 48):
+            got = [0] * 400
+            for a, b, tag, _ in reader.spans([e], gap)[0]:
+                got[a:b] = [tag] * (b - a)
+            assert got == path
+        crossed += any(path)
+    assert crossed > 10
+
+
+def test_tagger_adds_forms_beyond_the_patterns():
+    """Precision and recall of added spans on labelled text that the tagger has not seen."""
+    writer, made = pii._Writer(99), []
+    for _ in range(600):
+        text, true = "", []
+        for _ in range(40):
+            kind = int(writer.rng.integers(4)) if writer.rng.random() < 0.06 else None
+            piece = writer.filler() if kind is None else (writer.email, writer.ip, writer.card, writer.phone)[kind]()
+            if kind is not None:
+                true.append((kind, len(text), len(text) + len(piece)))
+            text += piece + writer.pick([" "] * 8 + ["\n", ". ", ", ", " | "])
+        made.append((text, true))
+    odd, added, right = 0, 0, 0
+    for (_, true), (base, every) in zip(made, pii.all_spans([t for t, _ in made], pii.trained()), strict=True):
+        beyond = {s for s in true if all(e <= s[1] or s[2] <= b for _, b, e in base)}
+        new = set(every) - set(base)
+        odd, added, right = odd + len(beyond), added + len(new), right + len(new & set(true))
+    assert odd > 400 and right / added > 0.97 and right / odd > 0.85
+
+
 def test_fingerprints_estimate_generalised_jaccard():
     rng = random.Random(3)
     sampler, off = fingerprint.Sampler(samples=256), []
