@@ -206,25 +206,30 @@ class Reader:
         best path begins and ends no span at an idle place, and leaves no tag on ``gap``
         idle places in a row: carrying a tag over them costs more than ending it and
         beginning anew.  So only what lies between such gaps is decoded, with no tag
-        on either side, and the path is that over the whole text.
+        on either side, and the path is that over the whole text.  Nor is it decoded
+        where all gains of its places together don't pay for beginning and ending a span.
         """
         inside, idle = float(self.move[1:, 1:].max()), float(self.move[0, 0])
         into, out = self.move[0, 1:], self.move[1:, 0]
         slack = max(0.0, float(np.ptp(into)), float(np.ptp(out)), float(into.max() + out.max()) - idle - inside)
         least = max(0.0, inside + idle - float(into.min() + out.min())) / gap
-        makes_up = np.float32(inside - idle + slack + least + 1e-3)
+        makes_up = np.float32(slack + least + 1e-3)
+        ends_cost = inside + idle - float(into.max() + out.max()) - 1e-3
         found: list[list[tuple[int, int, int, float]]] = [[] for _ in emissions]
         stretches = []
         for k, e in enumerate(emissions):
             best = e[1]
             for row in e[2:]:
                 best = np.maximum(best, row)
-            active = np.flatnonzero(best + makes_up > e[0])
+            gain = best - e[0] + np.float32(inside - idle)
+            active = np.flatnonzero(gain > -makes_up)
             if not len(active):
                 continue
             cuts = np.flatnonzero(np.diff(active) > gap)
             starts, ends = active[np.append(0, cuts + 1)], active[np.append(cuts, len(active) - 1)]
-            stretches += [(k, s, t + 1) for s, t in zip(starts, ends, strict=True)]
+            # Idle places gain nothing, so a stretch's gains are those of its active ones.
+            gains = np.add.reduceat(np.maximum(gain[active], 0), np.append(0, cuts + 1), dtype=float)
+            stretches += [(k, s, t + 1) for s, t, g in zip(starts, ends, gains, strict=True) if g > ends_cost]
         stretches.sort(key=lambda s: s[2] - s[1])
         for i in range(0, len(stretches), 256):
             part = stretches[i : i + 256]
